@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from math import ceil
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ class KeyProfile:
     key: str
     key_type: T.DataType
     distinct: int
-    rows_per_split: int
+    heavy_rows: int
     heavy: dict[Any, int] = field(default_factory=dict)
 
     def splits(self, df: DataFrame) -> DataFrame:
@@ -40,9 +40,15 @@ class KeyProfile:
         schema = T.StructType(
             [T.StructField(self.key, self.key_type), T.StructField("_splits", T.IntegerType())]
         )
-        rows = [(k, ceil(n / self.rows_per_split)) for k, n in self.heavy.items()]
+        rows = [(k, ceil(n / self.heavy_rows)) for k, n in self.heavy.items()]
         return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
+    def only_heavy(self, df: DataFrame) -> DataFrame:
+        return df.join(self.splits(df).select(self.key), self.key, "left_semi")
+
+    def without_heavy(self, df: DataFrame) -> DataFrame:
+        return df.join(self.splits(df).select(self.key), self.key, "left_anti")
+
 
 def profile_keys(
     df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, top: int = HEAVY_KEYS
@@ -57,35 +63,28 @@ def profile_keys(
     )
     heavy = counts.where(F.col("n") > heavy_rows).orderBy(F.desc("n")).limit(top).collect()
     return KeyProfile(
-        key, df.schema[key].dataType, seen.get["keys"], heavy_rows, {r[key]: r["n"] for r in heavy}
+        key, df.schema[key].dataType, seen.get.get("keys", 0), heavy_rows, {r[key]: r["n"] for r in heavy}
     )
 
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    profile: KeyProfile,
-    spread_by: list[str],
-    broadcast_rows: int = BROADCAST_ROWS,
+    rows: DataFrame, lookup: DataFrame, profile: KeyProfile, lookup_rows: int | None = None
 ) -> DataFrame:
     """Inner join of many rows with a lookup holding one row per key.
 
-    The profile must cover the keys of both sides.  Few keys: the lookup is sent
-    to every executor.  Otherwise both sides are shuffled, the heavy keys' rows
-    over several tasks by a hash of ``spread_by`` with their one lookup row
-    repeated for each.
+    ``lookup_rows`` is the lookup's size if known: a short one goes to every
+    executor.  Otherwise the rows of heavy keys stay where they are and meet a
+    broadcast of just their lookup rows (at most ``HEAVY_KEYS``), and all other
+    rows are joined as Spark sees fit.
     """
     key = profile.key
-    if profile.distinct <= broadcast_rows:
+    if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), key)
     if not profile.heavy:
         return rows.join(lookup, key)
-    splits = profile.splits(rows)
-    part = F.pmod(F.xxhash64(*spread_by), F.coalesce("_splits", F.lit(1))).cast("int")
-    spread = rows.join(splits, key, "left").withColumn("_part", part).drop("_splits")
-    parts = F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))
-    repeated = lookup.join(splits, key, "left").withColumn("_part", parts).drop("_splits")
-    return spread.join(repeated, [key, "_part"]).drop("_part")
+    usual = profile.without_heavy(rows).join(lookup, key)
+    hot = profile.only_heavy(rows).join(F.broadcast(profile.only_heavy(lookup)), key)
+    return usual.unionByName(hot)
 
 
 def running_before(
@@ -100,22 +99,20 @@ def running_before(
     key = profile.key
     earlier = (Window.unboundedPreceding, -1)
 
-    def before(column: str, *within: str, order: list[str]) -> F.Column:
+    def before(column: str, *within: str, order: list[str]) -> Column:
         window = Window.partitionBy(*within).orderBy(*order).rowsBetween(*earlier)
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
     if not profile.heavy:
         return df.withColumn(out, before(value, key, order=order_by))
 
-    hot_keys = profile.splits(df).select(key)
-    usual = df.join(F.broadcast(hot_keys), key, "left_anti")
-    usual = usual.withColumn(out, before(value, key, order=order_by))
+    usual = profile.without_heavy(df).withColumn(out, before(value, key, order=order_by))
 
     # Ranges are found by sampling, so they are fixed on disk before being used twice.
     most = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(most, sum(ceil(n / profile.rows_per_split) for n in profile.heavy.values()) + 1)
+    ranges = min(most, sum(ceil(n / profile.heavy_rows) for n in profile.heavy.values()) + 1)
     hot = freeze(
-        df.join(F.broadcast(hot_keys), key, "left_semi")
+        profile.only_heavy(df)
         .repartitionByRange(ranges, key, *order_by)
         .withColumn("_range", F.spark_partition_id())
     )
