@@ -15,7 +15,7 @@ _RECEIVED = _LINES.format(status="F")
 _SOLD = _LINES.format(status="O")
 
 _TILL = """
-SELECT user_id AS customer_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS at,
+SELECT user_id AS customer_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS sold_at,
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS quantity,
        CAST(value AS DECIMAL(15,2)) AS price
@@ -25,12 +25,12 @@ FROM events WHERE event_type = 'purchase'
 _ORDER = "event_time, source_id, line_no, quantity, price"
 
 _TIME_COLUMNS = """
-       CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', at) AS BIGINT) AS id,
-       CAST(at AS DATE) AS date,
-       CAST(year(at) AS INTEGER) AS year, CAST(month(at) AS INTEGER) AS month,
-       CAST(day(at) AS INTEGER) AS day, CAST(hour(at) AS INTEGER) AS hour,
-       CAST(minute(at) AS INTEGER) AS minute, CAST(second(at) AS INTEGER) AS second,
-       CAST(dayofweek(at) + 1 AS INTEGER) AS weekday
+       CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', sold_at) AS BIGINT) AS id,
+       CAST(sold_at AS DATE) AS date,
+       CAST(year(sold_at) AS INTEGER) AS year, CAST(month(sold_at) AS INTEGER) AS month,
+       CAST(day(sold_at) AS INTEGER) AS day, CAST(hour(sold_at) AS INTEGER) AS hour,
+       CAST(minute(sold_at) AS INTEGER) AS minute, CAST(second(sold_at) AS INTEGER) AS second,
+       CAST(dayofweek(sold_at) + 1 AS INTEGER) AS weekday
 """
 
 _UNITS_BY_PRODUCT = """
@@ -78,7 +78,7 @@ FROM customer WHERE c_custkey IN (
 
 _SALES_FACT = f"""
 SELECT product_id, customer_id,
-       CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', at) AS BIGINT) AS time_id,
+       CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', sold_at) AS BIGINT) AS time_id,
        quantity, price AS sale_prices, price AS total_amount
 FROM ({_TILL})
 """
@@ -153,15 +153,30 @@ FROM ({_document_lines(_SOLD)})
 
 _CLOCK_TEXT = "strftime(timestamp, '%Y-%m-%d %H:%M:%S')"
 
+
+def _json(**fields: str) -> str:
+    """JSON text of one object; money keeps both decimals, which to_json would not."""
+    quoted = {"customer_id", "customer_name", "product_id", "product_name", "timestamp"}
+    parts = []
+    for name, value in fields.items():
+        mark = '"' if name in quoted else ""
+        parts.append(f"""'"{name}":{mark}' || {value} || '{mark}'""")
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+_ITEM_FIELDS = {c: c for c in ("product_id", "product_name", "quantity", "price", "total_price")}
+_HEAD_FIELDS = {c: c for c in ("customer_id", "customer_name")}
+_TOTAL_FIELD = {"total_invoice_amount": "total_invoice_amount"}
+_TIME_FIELD = {"timestamp": _CLOCK_TEXT}
+
 _NOTIFICATIONS = f"""
-SELECT CAST(to_json(struct_pack(
-         customer_id := customer_id, customer_name := customer_name,
-         total_invoice_amount := total_invoice_amount, "timestamp" := {_CLOCK_TEXT},
-         product_id := product_id, product_name := product_name, quantity := quantity,
-         price := price, total_price := total_price)) AS VARCHAR) AS value
+SELECT {_json(**_HEAD_FIELDS, **_TOTAL_FIELD, **_TIME_FIELD, **_ITEM_FIELDS)} AS value
 FROM ({_PURCHASE_LINES})
 """
 
+_ITEMS = f"'[' || string_agg({_json(**_ITEM_FIELDS)}, ',' ORDER BY line_no) || ']'"
+_DOCUMENT = _json(**_HEAD_FIELDS, purchased_items=_ITEMS, **_TOTAL_FIELD, **_TIME_FIELD)
+
 # Movements as the two streams write them: receipts at their delivery, sales at
 # their order; at the same time receipts come first.
 _STREAM_STOCK = f"""
@@ -192,9 +207,9 @@ _TILL_PRODUCTS = f"SELECT DISTINCT product_id FROM ({_TILL})"
 
 ORACLES: dict[str, str] = {
     "revenue_by_minute": f"""
-        SELECT CAST(year(at) AS INTEGER) AS year, CAST(month(at) AS INTEGER) AS month,
-               CAST(day(at) AS INTEGER) AS day, CAST(hour(at) AS INTEGER) AS hour,
-               CAST(minute(at) AS INTEGER) AS minute,
+        SELECT CAST(year(sold_at) AS INTEGER) AS year, CAST(month(sold_at) AS INTEGER) AS month,
+               CAST(day(sold_at) AS INTEGER) AS day, CAST(hour(sold_at) AS INTEGER) AS hour,
+               CAST(minute(sold_at) AS INTEGER) AS minute,
                CAST(SUM(price) AS DECIMAL(25,2)) AS total_revenue,
                CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold
         FROM ({_TILL}) GROUP BY ALL
@@ -210,7 +225,7 @@ ORACLES: dict[str, str] = {
         FROM ({_SPEND_BY_CUSTOMER})""",
     "product_dim": _PRODUCT_DIM,
     "customer_dim": _CUSTOMER_DIM,
-    "time_dim": f"SELECT {_TIME_COLUMNS} FROM (SELECT DISTINCT at FROM ({_TILL}))",
+    "time_dim": f"SELECT {_TIME_COLUMNS} FROM (SELECT DISTINCT sold_at FROM ({_TILL}))",
     "max_time_key": f"SELECT MAX(time_id) AS max_id FROM ({_SALES_FACT})",
     "sales_fact": _SALES_FACT,
     "sales_fact_lookup": _SALES_FACT,
@@ -273,13 +288,7 @@ ORACLES: dict[str, str] = {
     "purchase_lines": f"SELECT * EXCLUDE (source_id) FROM ({_PURCHASE_LINES})",
     "notifications": _NOTIFICATIONS,
     "purchase_messages": f"""
-        SELECT customer_id AS key, CAST(to_json(struct_pack(
-                 customer_id := customer_id, customer_name := customer_name,
-                 purchased_items := list(struct_pack(
-                   product_id := product_id, product_name := product_name, quantity := quantity,
-                   price := price, total_price := total_price) ORDER BY line_no),
-                 total_invoice_amount := total_invoice_amount,
-                 "timestamp" := {_CLOCK_TEXT})) AS VARCHAR) AS value
+        SELECT customer_id AS key, {_DOCUMENT} AS value
         FROM ({_PURCHASE_LINES})
         GROUP BY source_id, customer_id, customer_name, total_invoice_amount, timestamp""",
     "line_amounts": """
