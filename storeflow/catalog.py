@@ -12,7 +12,7 @@ from storeflow.operators import audit, inventory, invoices, star
 from storeflow.plans import reports
 from storeflow.plans.lineage import fresh_folder
 from storeflow.plans.views import LINE_ORDER, Retail
-from storeflow.schemas import MONEY, TABLES
+from storeflow.schemas import IMPORT_INVOICE, MONEY, TABLES, empty
 from storeflow.sources.store import ParquetStore
 from storeflow.sources.streams import read_import_stream, read_imports
 from storeflow.streaming.jobs import start_imports, start_purchases, write_notifications
@@ -74,7 +74,7 @@ def product_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 def customer_dim(spark: SparkSession, folder: str) -> DataFrame:
     r = Retail(spark, folder)
-    ids = r.sale_lines().select("customer_id").distinct()
+    ids = r.sold_orders().select("customer_id").distinct()
     return star.customer_rows(ids.join(r.customers(), "customer_id"))
 
 
@@ -111,9 +111,8 @@ def new_customers(spark: SparkSession, folder: str) -> DataFrame:
 # Stock
 
 def _no_stock(spark: SparkSession) -> DataFrame:
-    ids = TABLES["inventory"]
-    empty = spark.createDataFrame([], ids).drop("last_updated")
-    return empty.withColumn("product_id", F.col("product_id").cast("bigint"))
+    stock = empty(spark, TABLES["inventory"]).drop("last_updated")
+    return stock.withColumn("product_id", F.col("product_id").cast("bigint"))
 
 
 def _opening_stock(r: Retail) -> DataFrame:
@@ -190,7 +189,7 @@ def import_rejects(spark: SparkSession, folder: str) -> DataFrame:
     r = Retail(spark, folder)
     orders = r.table("orders").select(F.col("o_orderkey").cast("string").alias("import_id"))
     documents = orders.join(r.import_documents(), "import_id", "left")
-    rejected = invoices.rejects(documents, "items", "import_id", "delivery_hour")
+    rejected = invoices.rejects(documents, "items", "import_id", IMPORT_INVOICE)
     return rejected.select("source_id", "reason")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeflow.functions.columns import DEFAULT_REORDER_LEVEL, sale_price
+from storeflow.plans.lineage import freeze
 from storeflow.plans.skew import (
     HEAVY_ROWS,
     KeyProfile,
@@ -142,7 +143,6 @@ def stock_on_hand(
     movements: DataFrame,
     order_by: list[str] = MOVEMENT_ORDER,
     reorder_levels: DataFrame | None = None,
-    profile: KeyProfile | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Stock per product from signed movements (receipts > 0, sales < 0).
@@ -151,11 +151,10 @@ def stock_on_hand(
     sales before it do not count.  ``reorder_levels`` (product_id, reorder_level)
     overrides the default level.
 
-    Receipts are summed without a join.  Only sales have to be compared with the
-    first receipt, over a lookup of one row per product.
+    Receipts are folded without a join and kept, one row per product: they are both
+    the lookup that says which sales count and one side of the result.
     """
-    profile = profile or profile_keys(movements, "product_id", heavy_rows)
-    incoming = (
+    incoming = freeze(
         movements.where("quantity > 0")
         .groupBy("product_id")
         .agg(
@@ -164,9 +163,10 @@ def stock_on_hand(
         )
     )
     opening = incoming.select("product_id", F.struct(*[f"first.{c}" for c in order_by]).alias("opened"))
-    outgoing = movements.where("quantity < 0").select(*dict.fromkeys(["product_id", *order_by, "quantity"]))
+    columns = dict.fromkeys(["product_id", *order_by, "quantity"])
+    outgoing = movements.where("quantity < 0").select(*columns)
     sold = (
-        lookup_join(outgoing, opening, profile, lookup_rows=profile.distinct)
+        lookup_join(outgoing, opening, "product_id", incoming.count(), heavy_rows=heavy_rows)
         .where(F.struct(*order_by) >= F.col("opened"))
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("sold"))
@@ -189,7 +189,6 @@ def roll_forward(
     inventory: DataFrame,
     movements: DataFrame,
     order_by: list[str] = MOVEMENT_ORDER,
-    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """Stock after ``inventory`` and the movements that followed it.
 
@@ -202,7 +201,7 @@ def roll_forward(
     carried = known.join(moved, "product_id", "left").withColumn(
         "quantity", F.col("quantity") + F.coalesce("units", F.lit(0))
     )
-    opened = stock_on_hand(movements, order_by, profile=profile)
+    opened = stock_on_hand(movements, order_by)
     return carried.select(*STOCK_COLUMNS).unionByName(
         opened.join(known.select("product_id"), "product_id", "left_anti").select(*STOCK_COLUMNS)
     )
@@ -228,7 +227,7 @@ def oversell_guard(
     asked = requests.where("quantity > 0")
     profile = profile or profile_keys(asked, "product_id", heavy_rows)
     available = stock.where("quantity > 0").select("product_id", F.col("quantity").alias("available"))
-    stocked = lookup_join(asked, available, profile)
+    stocked = lookup_join(asked, available, "product_id", profile=profile)
     queued = running_before(stocked, "quantity", order_by, profile, "queued_before")
     left = F.greatest(F.col("available") - F.col("queued_before"), F.lit(0))
     return (

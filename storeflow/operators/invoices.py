@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from storeflow.schemas import CORRUPT, MONEY, PURCHASE_INVOICE
+from storeflow.schemas import CORRUPT, IMPORT_INVOICE, MONEY, PURCHASE_INVOICE
 
 _MESSAGE_POSITION = ("topic", "partition", "offset")
 
@@ -85,24 +86,29 @@ def import_items(lines: DataFrame) -> DataFrame:
     )
 
 
-def rejects(invoices: DataFrame, items: str, source_id: str, payload: str) -> DataFrame:
-    """Invoices that yield no line, with the reason."""
-    no_items = F.col(items).isNull() | (F.size(items) == 0)
-    fields = [f for f in invoices.columns if f not in (source_id, payload)]
-    unreadable = F.coalesce(*[F.col(f).cast("string") for f in fields]).isNull()
-    return invoices.where(no_items).select(
+def rejects(
+    invoices: DataFrame, items: str, source_id: str, wire: StructType, payload: str | None = None
+) -> DataFrame:
+    """Invoices that yield no line, with the reason and what they held.
+
+    ``wire`` is their schema; ``payload`` names a column with the raw text, if any.
+    """
+    fields = [F.col(f) for f in wire.fieldNames() if f in invoices.columns]
+    unreadable = F.coalesce(*[f.cast("string") for f in fields]).isNull()
+    held = F.to_json(F.struct(*fields))
+    return invoices.where(F.col(items).isNull() | (F.size(items) == 0)).select(
         F.col(source_id).alias("source_id"),
-        F.col(payload).alias("payload"),
+        (F.coalesce(payload, held) if payload else held).alias("payload"),
         F.when(unreadable, "unreadable").otherwise("no items").alias("reason"),
     )
 
 
 def import_rejects(invoices: DataFrame) -> DataFrame:
-    return rejects(invoices, "items", "import_id", CORRUPT)
+    return rejects(invoices, "items", "import_id", IMPORT_INVOICE, CORRUPT)
 
 
 def purchase_rejects(invoices: DataFrame) -> DataFrame:
-    return rejects(invoices, "purchased_items", "source_id", "payload")
+    return rejects(invoices, "purchased_items", "source_id", PURCHASE_INVOICE, "payload")
 
 
 def notifications(lines: DataFrame) -> DataFrame:

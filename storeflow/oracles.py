@@ -283,7 +283,7 @@ ORACLES: dict[str, str] = {
     "import_invoices": f"""
         SELECT DISTINCT import_id, delivery_hour, total_invoice_amount FROM ({_IMPORT_LINES})""",
     "import_rejects": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS source_id, 'unreadable' AS reason FROM orders
+        SELECT CAST(o_orderkey AS VARCHAR) AS source_id, 'no items' AS reason FROM orders
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')""",
     "purchase_lines": f"SELECT * EXCLUDE (source_id) FROM ({_PURCHASE_LINES})",
     "notifications": _NOTIFICATIONS,

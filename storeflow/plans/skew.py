@@ -68,18 +68,22 @@ def profile_keys(
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, profile: KeyProfile, lookup_rows: int | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    lookup_rows: int | None = None,
+    profile: KeyProfile | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Inner join of many rows with a lookup holding one row per key.
 
-    ``lookup_rows`` is the lookup's size if known: a short one goes to every
-    executor.  Otherwise the rows of heavy keys stay where they are and meet a
-    broadcast of just their lookup rows (at most ``HEAVY_KEYS``), and all other
-    rows are joined as Spark sees fit.
+    A lookup known to be short (``lookup_rows``) goes to every executor.  Otherwise
+    the rows of heavy keys stay where they are and meet a broadcast of just their
+    lookup rows (at most ``HEAVY_KEYS``), and all others are joined as Spark sees fit.
     """
-    key = profile.key
     if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), key)
+    profile = profile or profile_keys(rows, key, heavy_rows)
     if not profile.heavy:
         return rows.join(lookup, key)
     usual = profile.without_heavy(rows).join(lookup, key)

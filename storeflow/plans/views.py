@@ -68,14 +68,12 @@ class Retail:
         amounts = self.sold().groupBy("source_id").agg(F.sum("price").alias("total_amount"))
         return amounts.join(orders, "source_id").select("customer_id", "total_amount")
 
-    def sale_lines(self) -> DataFrame:
-        """Sold lines with customer and time of order."""
+    def sold_orders(self) -> DataFrame:
+        """Orders with at least one sold line."""
         orders = self.table("orders").select(
-            F.col("o_orderkey").alias("source_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").alias("timestamp"),
+            F.col("o_orderkey").alias("source_id"), F.col("o_custkey").alias("customer_id")
         )
-        return self.sold().drop("event_time").join(orders, "source_id")
+        return orders.join(self.sold().select("source_id").distinct(), "source_id", "left_semi")
 
     def movements(self) -> DataFrame:
         """Receipts and sales as signed movements on the day of shipping."""

@@ -6,6 +6,8 @@ same invoice gives the same time key whatever zone the session runs in.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(15, 2)
@@ -88,3 +90,9 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
 
 # Columns a database fills from its own sequence.
 SERIAL_COLUMNS: dict[str, list[str]] = {"import_items": ["id"], "sales_fact": ["sale_id"]}
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of the schema, in a form the optimizer can see is empty."""
+    fields = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*fields).where(F.lit(False))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeflow.schemas import SERIAL_COLUMNS, TABLES
+from storeflow.schemas import SERIAL_COLUMNS, TABLES, empty
 
 _BATCH = [T.StructField("source", T.StringType()), T.StructField("batch_id", T.LongType())]
 
@@ -44,7 +44,7 @@ class ParquetStore:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = self.spark.createDataFrame([], schema)
+            rows = empty(self.spark, schema)
         if before_batch is not None:
             rows = rows.where(F.col("batch_id") < before_batch)
         return rows
