@@ -20,6 +20,7 @@ from storeflow.streaming.jobs import start_imports, start_purchases, write_notif
 # Receipts before this day make the opening stock of the merge queries.
 OPENING_DAY = "1998-01-01"
 DRAIN = {"availableNow": True}
+DIMENSIONS = ("product_dim", "customer_dim", "time_dim")
 
 _LINE = ["product_id", "product_name", "quantity", "price"]
 
@@ -303,8 +304,8 @@ def _drain_purchases(r: Retail, store: ParquetStore) -> None:
         query.awaitTermination()
 
 
-def _new_store(spark: SparkSession) -> ParquetStore:
-    return ParquetStore(spark, fresh_folder(spark, "store"))
+def _new_store(spark: SparkSession, *tables: str) -> ParquetStore:
+    return ParquetStore(spark, fresh_folder(spark, "store")).create(tables)
 
 
 def stream_import_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -320,21 +321,21 @@ def stream_import_invoices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_sales_fact(spark: SparkSession, folder: str) -> DataFrame:
-    store = _new_store(spark)
+    store = _new_store(spark, *DIMENSIONS)
     _drain_purchases(Retail(spark, folder), store)
     return store.read("sales_fact").drop("sale_id")
 
 
 def stream_star_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Spend per customer, read from the facts and dimension the stream has loaded."""
-    store = _new_store(spark)
+    store = _new_store(spark, *DIMENSIONS)
     _drain_purchases(Retail(spark, folder), store)
     return reports.spend_by_customer(store.read("sales_fact"), store.read("customer_dim"))
 
 
 def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
     """Stock after both streams have written their movements."""
-    r, store = Retail(spark, folder), _new_store(spark)
+    r, store = Retail(spark, folder), _new_store(spark, *DIMENSIONS)
     _drain_imports(r, store)
     _drain_purchases(r, store)
     return inventory.stock_on_hand(store.read("movements"))

@@ -7,6 +7,8 @@ the table as it is.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,13 @@ class ParquetStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def create(self, tables: Iterable[str] = TABLES) -> "ParquetStore":
+        """Set up tables without rows; those that exist stay as they are."""
+        for table in tables:
+            target = f"{self.root}/{table}/source=none/batch_id=-1"
+            empty(self.spark, TABLES[table]).write.mode("ignore").parquet(target)
+        return self
+
     def append(self, df: DataFrame, table: str, source: str, batch_id: int) -> None:
         columns = TABLES[table].fieldNames()
         target = f"{self.root}/{table}/source={source}/batch_id={batch_id}"

@@ -6,11 +6,13 @@ again gives the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from storeflow.functions.columns import stamped, with_event_time
 from storeflow.operators import inventory, invoices, star
@@ -28,37 +30,58 @@ def _kept(batch: DataFrame) -> Iterator[DataFrame]:
         batch.unpersist()
 
 
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run writes that do not depend on each other as concurrent jobs."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inherit(write)) for write in writes]:
+            done.result()
+
+
 def import_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Import invoices into stock movements, headers, items and rejects."""
     with _kept(batch):
         lines = with_event_time(invoices.explode_imports(batch), "delivery_hour")
         headers = stamped(invoices.import_invoices(lines), "timestamp_inserted")
-        store.append(inventory.receipts(lines), "movements", IMPORTS, batch_id)
-        store.append(headers, "import_invoices", IMPORTS, batch_id)
-        store.append(invoices.import_items(lines), "import_items", IMPORTS, batch_id)
-        store.append(invoices.import_rejects(batch), "rejects", IMPORTS, batch_id)
+        add = partial(store.append, source=IMPORTS, batch_id=batch_id)
+        _together(
+            batch.sparkSession,
+            partial(add, inventory.receipts(lines), "movements"),
+            partial(add, headers, "import_invoices"),
+            partial(add, invoices.import_rejects(batch), "rejects"),
+        )
+        add(invoices.import_items(lines), "import_items")
 
 
 def sale_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Purchase invoices into stock movements and rejects."""
     with _kept(batch):
         lines = with_event_time(invoices.explode_purchases(batch), "timestamp")
-        store.append(inventory.withdrawals(lines), "movements", SALES, batch_id)
-        store.append(invoices.purchase_rejects(batch), "rejects", SALES, batch_id)
+        add = partial(store.append, source=SALES, batch_id=batch_id)
+        _together(
+            batch.sparkSession,
+            partial(add, inventory.withdrawals(lines), "movements"),
+            partial(add, invoices.purchase_rejects(batch), "rejects"),
+        )
 
 
 def warehouse_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Purchase invoices into the star schema: new dimension rows, then facts."""
     with _kept(batch):
         lines = with_event_time(invoices.explode_purchases(batch), "timestamp")
-        for table, rows, key in (
-            ("product_dim", star.product_rows(lines), "product_id"),
-            ("customer_dim", star.customer_rows(lines), "customer_id"),
-            ("time_dim", star.time_rows(lines), "id"),
-        ):
+        add = partial(store.append, source=STAR, batch_id=batch_id)
+
+        def add_new(rows: DataFrame, table: str, key: str) -> None:
             earlier = store.read(table, before_batch=batch_id)
-            store.append(star.new_dim_rows(rows, earlier, key), table, STAR, batch_id)
-        store.append(star.sales_fact(lines), "sales_fact", STAR, batch_id)
+            add(star.new_dim_rows(rows, earlier, key), table)
+
+        _together(
+            batch.sparkSession,
+            partial(add_new, star.product_rows(lines), "product_dim", "product_id"),
+            partial(add_new, star.customer_rows(lines), "customer_dim", "customer_id"),
+            partial(add_new, star.time_rows(lines), "time_dim", "id"),
+        )
+        add(star.sales_fact(lines), "sales_fact")
 
 
 def preview(df: DataFrame, n: int = 20) -> None:
