@@ -6,6 +6,7 @@ from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from storeflow.functions.columns import with_event_time
 from storeflow.operators import audit, inventory, invoices, star
@@ -280,11 +281,11 @@ def _per_batch(spark: SparkSession) -> int:
     return ceil(files / 3)
 
 
-def _drain_imports(r: Retail, store: ParquetStore) -> None:
+def _start_imports(r: Retail, store: ParquetStore) -> list[StreamingQuery]:
     spark, base = r.spark, fresh_folder(r.spark, "import-feed")
     r.import_documents().write.json(f"{base}/in")
     stream = read_import_stream(spark, f"{base}/in", _per_batch(spark), clean="off")
-    start_imports(stream, store, f"{base}/checkpoint", DRAIN, name=None).awaitTermination()
+    return [start_imports(stream, store, f"{base}/checkpoint", DRAIN, name=None)]
 
 
 def _purchase_feed(r: Retail) -> tuple[DataFrame, str]:
@@ -295,12 +296,15 @@ def _purchase_feed(r: Retail) -> tuple[DataFrame, str]:
     return reader.option("maxFilesPerTrigger", _per_batch(spark)).parquet(f"{base}/in"), base
 
 
-def _drain_purchases(r: Retail, store: ParquetStore) -> None:
+def _start_purchases(r: Retail, store: ParquetStore) -> list[StreamingQuery]:
     messages, base = _purchase_feed(r)
-    started = start_purchases(
+    return start_purchases(
         messages, store, f"{base}/checkpoint", trigger=DRAIN, names=(None, None, None)
     )
-    for query in started:
+
+
+def _drain(queries: list[StreamingQuery]) -> None:
+    for query in queries:
         query.awaitTermination()
 
 
@@ -310,43 +314,40 @@ def _new_store(spark: SparkSession, *tables: str) -> ParquetStore:
 
 def stream_import_items(spark: SparkSession, folder: str) -> DataFrame:
     store = _new_store(spark)
-    _drain_imports(Retail(spark, folder), store)
+    _drain(_start_imports(Retail(spark, folder), store))
     return store.read("import_items").select("import_id", *_LINE, "total_amount")
 
 
 def stream_import_invoices(spark: SparkSession, folder: str) -> DataFrame:
     store = _new_store(spark)
-    _drain_imports(Retail(spark, folder), store)
+    _drain(_start_imports(Retail(spark, folder), store))
     return store.read("import_invoices").drop("timestamp_inserted")
 
 
 def stream_sales_fact(spark: SparkSession, folder: str) -> DataFrame:
     store = _new_store(spark, *DIMENSIONS)
-    _drain_purchases(Retail(spark, folder), store)
+    _drain(_start_purchases(Retail(spark, folder), store))
     return store.read("sales_fact").drop("sale_id")
 
 
 def stream_star_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Spend per customer, read from the facts and dimension the stream has loaded."""
     store = _new_store(spark, *DIMENSIONS)
-    _drain_purchases(Retail(spark, folder), store)
+    _drain(_start_purchases(Retail(spark, folder), store))
     return reports.spend_by_customer(store.read("sales_fact"), store.read("customer_dim"))
 
 
 def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
     """Stock after both streams have written their movements."""
     r, store = Retail(spark, folder), _new_store(spark, *DIMENSIONS)
-    _drain_imports(r, store)
-    _drain_purchases(r, store)
+    _drain(_start_imports(r, store) + _start_purchases(r, store))
     return inventory.stock_on_hand(store.read("movements"))
 
 
 def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
     messages, base = _purchase_feed(Retail(spark, folder))
     sink = {"path": f"{base}/out"}
-    write_notifications(
-        messages, f"{base}/checkpoint", "parquet", sink, DRAIN, name=None
-    ).awaitTermination()
+    _drain([write_notifications(messages, f"{base}/checkpoint", "parquet", sink, DRAIN, name=None)])
     return spark.read.schema("value string").parquet(f"{base}/out")
 
 

@@ -228,7 +228,7 @@ def oversell_guard(
     profile = profile or profile_keys(asked, "product_id", heavy_rows)
     available = stock.where("quantity > 0").select("product_id", F.col("quantity").alias("available"))
     stocked = lookup_join(asked, available, "product_id", profile=profile)
-    queued = running_before(stocked, "quantity", order_by, profile, "queued_before")
+    queued = running_before(stocked, "quantity", order_by, profile, "queued_before", "available")
     left = F.greatest(F.col("available") - F.col("queued_before"), F.lit(0))
     return (
         queued.withColumn("fulfilled", F.least(F.col("quantity"), left))

@@ -92,13 +92,22 @@ def lookup_join(
 
 
 def running_before(
-    df: DataFrame, value: str, order_by: list[str], profile: KeyProfile, out: str
+    df: DataFrame,
+    value: str,
+    order_by: list[str],
+    profile: KeyProfile,
+    out: str,
+    until: str | None = None,
 ) -> DataFrame:
     """Add Σ ``value`` over the rows of the same key that come earlier in ``order_by``.
 
     Ordinary keys take one window over the key.  Heavy keys are cut into ordered
     ranges that fit a task each; sums of whole ranges, one row per key and range,
     then say where every range starts.
+
+    ``until`` names a column of limits: rows whose earlier sum has reached it may be
+    missing from the result.  With values above zero, ranges that start there are
+    left out before they are sorted.
     """
     key = profile.key
     earlier = (Window.unboundedPreceding, -1)
@@ -120,14 +129,14 @@ def running_before(
         .repartitionByRange(ranges, key, *order_by)
         .withColumn("_range", F.spark_partition_id())
     )
+    # At most one row per range, and one more per key that shares a range.
     starts = (
         hot.groupBy(key, "_range")
         .agg(F.sum(value).alias("_sum"))
         .select(key, "_range", before("_sum", key, order=["_range"]).alias("_start"))
     )
-    hot = (
-        hot.withColumn(out, before(value, key, "_range", order=order_by))
-        .join(starts, [key, "_range"])
-        .withColumn(out, F.col(out) + F.col("_start"))
-    )
+    hot = hot.join(F.broadcast(starts), [key, "_range"])
+    if until:
+        hot = hot.where(F.col("_start") < F.col(until))
+    hot = hot.withColumn(out, before(value, key, "_range", order=order_by) + F.col("_start"))
     return usual.unionByName(hot.select(*usual.columns))

@@ -21,6 +21,11 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.store.read(name)
 
+    def register(self) -> None:
+        """Make every table a temporary view, for reports written in SQL."""
+        for name in TABLES:
+            self.table(name).createOrReplaceTempView(name)
+
     def stock(self, reorder_levels: DataFrame | None = None) -> DataFrame:
         """Stock on hand from all movements."""
         return inventory.stock_on_hand(self.table("movements"), reorder_levels=reorder_levels)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import at, import_doc, item, messages, money, purchase_doc, rows_of, sold
+from storeflow.__main__ import main
 from storeflow.operators.inventory import stock_on_hand
 from storeflow.sources import streams
 from storeflow.sources.store import ParquetStore
@@ -150,6 +151,13 @@ def test_purchase_stream_fills_stock_star_and_topic(spark, store, tmp_path):
     assert wh.spend_share().count() == 3
     assert all(v.count() == 0 for v in wh.key_violations().values())
     assert all(v.count() == 0 for v in wh.reference_violations().values())
+    wh.register()
+    by_sql = spark.sql(
+        "SELECT p.product_name, SUM(s.quantity) AS total_sold FROM sales_fact s "
+        "JOIN product_dim p ON s.product_id = p.product_id GROUP BY p.product_name "
+        "ORDER BY total_sold DESC"
+    )
+    assert rows_of(by_sql) == rows_of(wh.units_by_product())
     bad = {t: v.where("nulls > 0").count() for t, v in wh.null_violations().items()}
     assert sum(bad.values()) == 0
 
@@ -253,7 +261,7 @@ def test_interval_trigger_and_graceful_stop(spark, store, tmp_path):
 
 def test_a_failing_query_is_noticed(spark, tmp_path):
     class Broken:
-        def append(self, *a):
+        def append(self, *args, **kwargs):
             raise RuntimeError("disk full")
 
     drop_files(tmp_path / "in", {"0": import_doc("I0", [item("A", 1, 1)])})
@@ -268,3 +276,18 @@ def test_a_failing_query_is_noticed(spark, tmp_path):
 def test_preview(spark, capsys):
     batches.preview(spark.range(3), 2)
     assert "only showing top 2 rows" in capsys.readouterr().out
+
+
+def test_command_line(spark, tmp_path, capsys):
+    drop_files(tmp_path / "in", {"0": import_doc("I0", [item("A", 60, 5)]), "1": import_doc("I1", [item("B", 7, 5)])})
+    store = ["--store", str(tmp_path / "store")]
+    main(["imports", *store, "--checkpoint", str(tmp_path / "cp"), "--input", str(tmp_path / "in"), "--once", "--clean", "off"])
+    main(["snapshot", *store, "--id", "0"])
+    main(["report", *store, "low_stock"])
+    assert "name B" in capsys.readouterr().out
+    main(["report", *store, "current_inventory"])
+    assert "name A" in capsys.readouterr().out
+    main(["report", *store, "units_by_product"])
+    assert "total_sold" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["report", *store, "nothing"])
