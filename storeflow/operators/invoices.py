@@ -26,17 +26,30 @@ def message_id(columns: list[str]) -> Column:
     return F.hex(F.xxhash64("value"))
 
 
+def _without_lines(items: str) -> Column:
+    return F.col(items).isNull() | (F.size(items) == 0)
+
+
 def parse_purchases(messages: DataFrame) -> DataFrame:
     """Decode a ``value`` column of JSON bytes into purchase invoices.
 
-    A message that is no JSON keeps its row with null fields; see :func:`rejects`.
+    A message that is no JSON keeps its row with null fields.  ``payload`` is the text
+    of messages that give no line, for :func:`purchase_rejects`; others need not carry it.
     """
-    payload = F.col("value").cast("string")
-    return messages.select(
+    text = F.col("value").cast("string")
+    parsed = messages.select(
         message_id(messages.columns).alias("source_id"),
-        payload.alias("payload"),
-        F.from_json(payload, PURCHASE_INVOICE).alias("invoice"),
+        text.alias("payload"),
+        F.from_json(text, PURCHASE_INVOICE).alias("invoice"),
     ).select("source_id", "payload", "invoice.*")
+    return parsed.withColumn("payload", F.when(_without_lines("purchased_items"), F.col("payload")))
+
+
+def purchase_headers(invoices: DataFrame) -> DataFrame:
+    """Customer and time of the purchase invoices that have lines, one row each."""
+    return invoices.where(~_without_lines("purchased_items")).select(
+        "source_id", "customer_id", "customer_name", "total_invoice_amount", "timestamp"
+    )
 
 
 def explode_purchases(invoices: DataFrame) -> DataFrame:
@@ -96,7 +109,7 @@ def rejects(
     fields = [F.col(f) for f in wire.fieldNames() if f in invoices.columns]
     unreadable = F.coalesce(*[f.cast("string") for f in fields]).isNull()
     held = F.to_json(F.struct(*fields))
-    return invoices.where(F.col(items).isNull() | (F.size(items) == 0)).select(
+    return invoices.where(_without_lines(items)).select(
         F.col(source_id).alias("source_id"),
         (F.coalesce(payload, held) if payload else held).alias("payload"),
         F.when(unreadable, "unreadable").otherwise("no items").alias("reason"),

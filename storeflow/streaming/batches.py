@@ -69,6 +69,7 @@ def warehouse_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Purchase invoices into the star schema: new dimension rows, then facts."""
     with _kept(batch):
         lines = with_event_time(invoices.explode_purchases(batch), "timestamp")
+        headers = with_event_time(invoices.purchase_headers(batch), "timestamp")
         add = partial(store.append, source=STAR, batch_id=batch_id)
 
         def add_new(rows: DataFrame, table: str, key: str) -> None:
@@ -78,8 +79,8 @@ def warehouse_batch(batch: DataFrame, batch_id: int, store) -> None:
         _together(
             batch.sparkSession,
             partial(add_new, star.product_rows(lines), "product_dim", "product_id"),
-            partial(add_new, star.customer_rows(lines), "customer_dim", "customer_id"),
-            partial(add_new, star.time_rows(lines), "time_dim", "id"),
+            partial(add_new, star.customer_rows(headers), "customer_dim", "customer_id"),
+            partial(add_new, star.time_rows(headers), "time_dim", "id"),
         )
         add(star.sales_fact(lines), "sales_fact")
 
