@@ -28,7 +28,10 @@ STOCK_COLUMNS = ["product_id", "product_name", "quantity", "sale_prices", "reord
 
 
 def current_inventory(
-    inventory: DataFrame, ties: str = "keep", tie_break: list[str] | None = None
+    inventory: DataFrame,
+    ties: str = "keep",
+    tie_break: list[str] | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Newest snapshot row per product.
 
@@ -36,18 +39,36 @@ def current_inventory(
     one of them, the largest by ``tie_break`` (default: the other columns).  Both
     drop all but the leading rows of each task before the shuffle.
     """
-    newest = F.desc("last_updated")
     if ties == "keep":
-        place = F.rank().over(Window.partitionBy("product_id").orderBy(newest))
-    elif ties == "one":
-        rest = [c for c in inventory.columns if c not in ("product_id", "last_updated")]
-        order = [F.desc(c) for c in tie_break or rest]
-        place = F.row_number().over(Window.partitionBy("product_id").orderBy(newest, *order))
-    else:
+        return _newest_with_ties(inventory, heavy_rows)
+    if ties != "one":
         raise ValueError("ties must be 'keep' or 'one'")
+    rest = [c for c in inventory.columns if c not in ("product_id", "last_updated")]
+    order = [F.desc(c) for c in tie_break or rest]
+    place = F.row_number().over(Window.partitionBy("product_id").orderBy(F.desc("last_updated"), *order))
     return inventory.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+def _newest_with_ties(inventory: DataFrame, heavy_rows: int) -> DataFrame:
+    """Rows at their product's newest time.
+
+    Nothing bounds how many rows share that time, so the rows of heavy products are
+    compared with a broadcast of their newest times and never gathered.
+    """
+
+    def leading(rows: DataFrame) -> DataFrame:
+        place = F.rank().over(Window.partitionBy("product_id").orderBy(F.desc("last_updated")))
+        return rows.withColumn("_place", place).where("_place = 1").drop("_place")
+
+    profile = profile_keys(inventory, "product_id", heavy_rows)
+    if not profile.heavy:
+        return leading(inventory)
+    hot = profile.only_heavy(inventory)
+    newest = hot.groupBy("product_id").agg(F.max("last_updated").alias("last_updated"))
+    hot = hot.join(F.broadcast(newest), ["product_id", "last_updated"], "left_semi")
+    return leading(profile.without_heavy(inventory)).unionByName(hot)
+
+
 def _name_of(lines: DataFrame) -> Column:
     """The lines' product name, or null where they carry only ids; see :func:`named`."""
     name = F.col("product_name") if "product_name" in lines.columns else F.lit(None).cast("string")

@@ -53,15 +53,19 @@ def purchase_headers(invoices: DataFrame) -> DataFrame:
 
 
 def explode_purchases(invoices: DataFrame) -> DataFrame:
-    """One row per purchased item.  Invoices without items give no row."""
+    """One row per purchased item.  Invoices without items give no row.
+
+    The outer form, with its empty rows taken out afterwards: the plain one would
+    test the array in a filter below the parser and so decode each message again.
+    """
     lines = invoices.select(
         "source_id",
         "customer_id",
         "customer_name",
         "total_invoice_amount",
         "timestamp",
-        F.posexplode("purchased_items").alias("line_no", "item"),
-    )
+        F.posexplode_outer("purchased_items").alias("line_no", "item"),
+    ).where("line_no IS NOT NULL")
     return lines.select(
         "source_id", "line_no", "customer_id", "customer_name", "total_invoice_amount", "timestamp",
         "item.product_id", "item.product_name", "item.quantity", "item.price", "item.total_price",

@@ -76,3 +76,8 @@ def test_no_driver_side_rows_in_the_package():
         used = calls(ast.parse(file.read_text()))
         found = used & {"collect", "toPandas", "toLocalIterator", "localCheckpoint", "crossJoin", "rdd"}
         assert found <= allowed.get(file.name, set()), file
+
+
+def test_messages_are_decoded_once(spark):
+    plan = plan_of(catalog.QUERIES["purchase_lines"](spark, FOLDER), "simple")
+    assert plan.count("from_json(") == 1

@@ -134,6 +134,13 @@ def test_stock_on_hand_by_hand(spark, monkeypatch, broadcast_rows, heavy_rows):
     assert {r["product_id"]: (r["quantity"], r["sale_prices"]) for r in out} == stock_by_hand(rows)
 
 
+@pytest.mark.parametrize("heavy_rows", [5, 30])
+def test_ties_of_heavy_products(spark, heavy_rows):
+    log = Retail(spark, FOLDER).inventory_log()
+    out = inventory.current_inventory(log, "keep", heavy_rows=heavy_rows)
+    assert differences(out, duck_rows(FOLDER, ORACLES["current_inventory_ties"])) == []
+
+
 def test_stock_queries_with_every_product_heavy(spark, monkeypatch):
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     r = Retail(spark, FOLDER)
