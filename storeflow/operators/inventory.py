@@ -39,6 +39,7 @@ def current_inventory(
     one of them, the largest by ``tie_break`` (default: the other columns).  Both
     drop all but the leading rows of each task before the shuffle.
     """
+    inventory = inventory.where("product_id IS NOT NULL AND last_updated IS NOT NULL")
     if ties == "keep":
         return _newest_with_ties(inventory, heavy_rows)
     if ties != "one":

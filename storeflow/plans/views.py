@@ -128,25 +128,28 @@ class Retail:
         so no array grows with the data.
         """
         profile = profile_keys(lines, "source_id", heavy_rows=DOCUMENT_LINES)
-        part = F.lit(0)
+        document = ["source_id"]
         if profile.heavy:
-            lines = lines.join(profile.splits(lines), "source_id", "left")
-            spread = F.xxhash64("line_no", "product_id", "quantity", "price")
-            part = F.coalesce(F.pmod(spread, F.col("_splits")), F.lit(0)).cast("int")
+            spread = F.pmod(F.xxhash64("line_no", "product_id", "quantity", "price"), F.col("_splits"))
+            lines = lines.join(profile.splits(lines), "source_id", "left").withColumn(
+                "part", F.coalesce(spread, F.lit(0)).cast("int")
+            )
+            document.append("part")
         item = F.struct("line_no", "product_id", "quantity", "price", "product_name")
         sc = self.spark.sparkContext
         files = max(sc.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         nested = (
             lines.join(self.products(), "product_id")
-            .withColumn("part", part)
-            .repartition(files, "source_id", "part")
-            .groupBy("source_id", "part")
+            .repartition(files, *document)
+            .groupBy(*document)
             .agg(
                 F.max("event_time").alias("shipped"),
                 F.sum("price").cast(MONEY).alias("total"),
                 F.sort_array(F.collect_list(item)).alias("items"),
             )
         )
+        if "part" not in document:
+            nested = nested.withColumn("part", F.lit(0))
         return nested.withColumn(
             "items",
             F.transform(
