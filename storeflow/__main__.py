@@ -49,7 +49,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     purchases.add_argument("--notify", help="topic for one message per sold line")
     purchases.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
 
-    command("snapshot").add_argument("--id", type=int, required=True)
+    snapshot = command("snapshot")
+    snapshot.add_argument("--id", type=int, required=True, help="higher than the last one")
+    snapshot.add_argument("--streams-stopped", action="store_true")
     report = command("report")
     report.add_argument("name", choices=REPORTS)
     report.add_argument("--rows", type=int, default=20)
@@ -77,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             await_any(spark)
     elif args.command == "snapshot":
-        Warehouse(store).publish_stock(args.id)
+        Warehouse(store).publish_stock(args.id, args.streams_stopped)
     else:
         getattr(Warehouse(store), args.name)().show(args.rows, truncate=False)
 

@@ -66,6 +66,8 @@ TABLES: dict[str, T.StructType] = {
         product_id=_STR, customer_id=_STR, time_id=_LONG, sale_id=_LONG,
         quantity=_INT, sale_prices=MONEY, total_amount=MONEY,
     ),
+    # Which batches of each stream a published stock snapshot covers.
+    "snapshot_marks": _struct(stream=_STR, last_batch=_LONG),
     "rejects": _struct(source_id=_STR, payload=_STR, reason=_STR),
 }
 

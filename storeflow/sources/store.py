@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 
 from storeflow.schemas import SERIAL_COLUMNS, TABLES, empty
 
+# Source of rows that stock snapshots write.
+SNAPSHOTS = "snapshots"
+
 _BATCH = [T.StructField("source", T.StringType()), T.StructField("batch_id", T.LongType())]
 
 
@@ -44,9 +47,10 @@ class ParquetStore:
 
     def read(self, table: str, before_batch: int | None = None) -> DataFrame:
         """The table; ``before_batch`` leaves out that batch and later ones."""
-        return self._rows(table, before_batch).drop("source", "batch_id")
+        return self.batches(table, before_batch).drop("source", "batch_id")
 
-    def _rows(self, table: str, before_batch: int | None = None) -> DataFrame:
+    def batches(self, table: str, before_batch: int | None = None) -> DataFrame:
+        """The table with the ``source`` and ``batch_id`` each row came with."""
         schema = T.StructType([*TABLES[table].fields, *_BATCH])
         try:
             rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
@@ -58,18 +62,43 @@ class ParquetStore:
             rows = rows.where(F.col("batch_id") < before_batch)
         return rows
 
-    def compact_into(self, other: "ParquetStore", tables: list[str] | None = None) -> None:
-        """Copy the tables into another root with one partition per stream.
+    def last_snapshot(self, before: int | None = None) -> tuple[int | None, dict[str, int]]:
+        """Number of the newest stock snapshot, and the last batch it covers per stream."""
+        marks = self.batches("snapshot_marks", before_batch=before)
+        last = marks.agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return None, {}
+        rows = marks.where(F.col("batch_id") == last).collect()
+        return last, {r["stream"]: r["last_batch"] for r in rows}
+
+    def newest_batches(self, table: str) -> dict[str, int]:
+        """Newest batch per stream that has written to the table."""
+        rows = self.batches(table).where("source <> 'none'")
+        newest = rows.groupBy("source").agg(F.max("batch_id").alias("newest")).collect()
+        return {r["source"]: r["newest"] for r in newest}
+
+    def compact_into(self, other: "ParquetStore", tables: Iterable[str] = TABLES) -> None:
+        """Copy the tables into another root, the batches of a stream put together.
 
         Run it while no stream writes, then restart the streams on the new root with
-        their old checkpoints.  Rows are shuffled to as many files as AQE finds fit.
+        their old checkpoints.  Batches the newest stock snapshot covers stay apart
+        from later ones, and snapshots from each other.  Each copy is spread over as
+        many files as its size calls for.
         """
-        for table in tables or TABLES:
-            rows = self._rows(table)
-            newest = rows.groupBy("source").agg(F.max("batch_id").alias("last")).collect()
-            for stream in newest:
-                part = rows.where(F.col("source") == stream["source"])
-                other.append(part.hint("rebalance"), table, stream["source"], stream["last"])
+        _, covered = self.last_snapshot()
+        for table in tables:
+            rows = self.batches(table)
+            for stream, newest in self.newest_batches(table).items():
+                mine = rows.where(F.col("source") == stream)
+                if stream == SNAPSHOTS:
+                    ids = sorted(r[0] for r in mine.select("batch_id").distinct().collect())
+                    spans = [(i, i) for i in ids]
+                else:
+                    mark = min(covered.get(stream, -1), newest)
+                    spans = [s for s in ((0, mark), (mark + 1, newest)) if s[0] <= s[1]]
+                for first, last in spans:
+                    part = mine.where(F.col("batch_id").between(first, last))
+                    other.append(part.hint("rebalance"), table, stream, last)
 
 
 class JdbcStore:

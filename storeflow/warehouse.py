@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from storeflow.functions.columns import stamped
 from storeflow.operators import audit, inventory
 from storeflow.plans import reports
 from storeflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES
-
-SNAPSHOTS = "snapshots"
+from storeflow.sources.store import SNAPSHOTS
 
 
 class Warehouse:
@@ -33,10 +33,33 @@ class Warehouse:
     def low_stock(self, reorder_levels: DataFrame | None = None) -> DataFrame:
         return inventory.low_stock(self.stock(reorder_levels))
 
-    def publish_stock(self, snapshot_id: int) -> None:
-        """Append stock on hand to the inventory log."""
-        rows = stamped(self.stock(), "last_updated")
-        self.store.append(rows, "inventory", SNAPSHOTS, snapshot_id)
+    def publish_stock(self, snapshot_id: int, streams_stopped: bool = False) -> None:
+        """Append today's stock to the inventory log.
+
+        Starts from the last snapshot and adds the batches that came since, so the cost
+        does not grow with the history.  The newest batch of each stream may still be
+        in writing and waits for the next snapshot, unless the streams have stopped.
+        A snapshot is not reopened: later batches add to it, whatever time they carry.
+        Needs a :class:`~storeflow.sources.store.ParquetStore`, whose rows know their batch.
+        """
+        last, covered = self.store.last_snapshot(before=snapshot_id)
+        wait = 0 if streams_stopped else 1
+        newest = self.store.newest_batches("movements")
+        upto = covered | {stream: batch - wait for stream, batch in newest.items()}
+        fresh = F.lit(False)
+        for stream, batch in upto.items():
+            since = covered.get(stream, -1)
+            fresh |= (F.col("source") == stream) & F.col("batch_id").between(since + 1, batch)
+        tail = self.store.batches("movements").where(fresh).drop("source", "batch_id")
+        if last is None:
+            stock = inventory.stock_on_hand(tail)
+        else:
+            before = self.store.batches("inventory").where(F.col("batch_id") == last)
+            stock = inventory.roll_forward(before, tail)
+        self.store.append(stamped(stock, "last_updated"), "inventory", SNAPSHOTS, snapshot_id)
+        # The marks come last: a snapshot without them is not built upon.
+        marks = stock.sparkSession.createDataFrame(list(upto.items()), TABLES["snapshot_marks"])
+        self.store.append(marks, "snapshot_marks", SNAPSHOTS, snapshot_id)
 
     def current_inventory(self, ties: str = "keep") -> DataFrame:
         """Newest row per product of the inventory log."""

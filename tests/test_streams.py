@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from rows import at, import_doc, item, messages, money, purchase_doc, rows_of, sold
+from rows import at, import_doc, item, messages, money, movements, purchase_doc, rows_of, sold
 from storeflow.__main__ import main
 from storeflow.operators.inventory import stock_on_hand
 from storeflow.sources import streams
@@ -205,15 +205,75 @@ def test_both_streams_meet_in_the_stock(spark, store, tmp_path):
     wh = Warehouse(store)
     assert rows_of(wh.stock()) == {("A", "name A", 5, money(6), 50)}
     assert rows_of(wh.low_stock(), "product_id") == {("A",)}
-    wh.publish_stock(0)
+    wh.publish_stock(0, streams_stopped=True)
     time.sleep(0.01)
     batches.sale_batch(parse_purchases(messages(spark, [purchase_doc("C", [sold("A", 1, 6)], 30)], 5)), 1, store)
-    wh.publish_stock(1)
+    wh.publish_stock(1, streams_stopped=True)
     assert wh.table("inventory").count() == 2
     assert rows_of(wh.current_inventory(), "product_id", "quantity") == {("A", 4)}
     assert rows_of(wh.current_inventory("one"), "product_id", "quantity") == {("A", 4)}
 
 
+def test_snapshots_add_what_came_since(spark, store):
+    def sale(batch, *docs):
+        rows = parse_purchases(messages(spark, list(docs), start=10 * batch))
+        batches.sale_batch(rows, batch, store)
+
+    def receive(batch, rows):
+        moved = movements(spark, rows)
+        store.append(moved, "movements", batches.IMPORTS, batch)
+
+    wh = Warehouse(store)
+    receive(0, [("A", 0, "I0", 0, 10, 5), ("B", 1, "I0", 1, 4, 5)])
+    sale(0, purchase_doc("C", [sold("A", 3, 6), sold("Z", 1, 1)], 5))
+    receive(1, [("A", 10, "I1", 0, 5, 99)])
+    wh.publish_stock(0)
+    # The newest batch of each stream is left for later.
+    assert rows_of(wh.current_inventory(), "product_id", "quantity") == {("A", 10), ("B", 4)}
+
+    sale(1, purchase_doc("C", [sold("B", 6, 6)], 15))
+    receive(2, [("Z", 20, "I2", 0, 2, 10)])
+    wh.publish_stock(1)
+    assert rows_of(wh.current_inventory(), "product_id", "quantity") == {("A", 12), ("B", 4)}
+    wh.publish_stock(1)
+    assert rows_of(wh.current_inventory(), "product_id", "quantity") == {("A", 12), ("B", 4)}
+
+    wh.publish_stock(2, streams_stopped=True)
+    assert rows_of(wh.current_inventory().drop("last_updated")) == rows_of(wh.stock())
+    assert rows_of(wh.stock(), "product_id", "quantity", "sale_prices") == {
+        ("A", 12, money(6)), ("B", -2, money(6)), ("Z", 2, money(12))
+    }
+    wh.publish_stock(3, streams_stopped=True)
+    assert rows_of(wh.current_inventory(), "product_id", "quantity") == {("A", 12), ("B", -2), ("Z", 2)}
+
+
+def test_snapshots_go_on_after_compaction(spark, store, tmp_path):
+    wh = Warehouse(store)
+    for n in range(3):
+        moved = movements(spark, [("A", 10 * n, f"I{n}", 0, 5, 5), (f"N{n}", 10 * n, f"I{n}", 1, 1, 1)])
+        store.append(moved, "movements", batches.IMPORTS, n)
+        wh.publish_stock(n)
+    small = ParquetStore(spark, str(tmp_path / "small"))
+    store.compact_into(small)
+    assert small.newest_batches("movements") == {"imports": 2}
+    assert small.last_snapshot() == store.last_snapshot() == (2, {"imports": 1})
+    after = Warehouse(small)
+    assert rows_of(after.stock()) == rows_of(wh.stock())
+    store.append(movements(spark, [("A", 99, "I9", 0, 1, 1)]), "movements", batches.IMPORTS, 3)
+    small.append(movements(spark, [("A", 99, "I9", 0, 1, 1)]), "movements", batches.IMPORTS, 3)
+    after.publish_stock(3, streams_stopped=True)
+    assert rows_of(after.current_inventory().drop("last_updated")) == rows_of(wh.stock())
+    assert rows_of(after.current_inventory(), "product_id", "quantity") == {
+        ("A", 16), ("N0", 1), ("N1", 1), ("N2", 1)
+    }
+
+
+def test_snapshot_of_nothing(spark, store):
+    wh = Warehouse(store.create())
+    wh.publish_stock(0)
+    assert wh.current_inventory().count() == 0
+
+
 class Recorder:
     """Stands for a stream reader or writer; notes the options it is given."""
 
@@ -282,7 +342,7 @@ def test_command_line(spark, tmp_path, capsys):
     drop_files(tmp_path / "in", {"0": import_doc("I0", [item("A", 60, 5)]), "1": import_doc("I1", [item("B", 7, 5)])})
     store = ["--store", str(tmp_path / "store")]
     main(["imports", *store, "--checkpoint", str(tmp_path / "cp"), "--input", str(tmp_path / "in"), "--once", "--clean", "off"])
-    main(["snapshot", *store, "--id", "0"])
+    main(["snapshot", *store, "--id", "0", "--streams-stopped"])
     main(["report", *store, "low_stock"])
     assert "name B" in capsys.readouterr().out
     main(["report", *store, "current_inventory"])
