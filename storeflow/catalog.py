@@ -17,6 +17,7 @@ from storeflow.schemas import IMPORT_INVOICE, MONEY, TABLES, empty
 from storeflow.sources.store import ParquetStore
 from storeflow.sources.streams import read_import_stream, read_imports
 from storeflow.streaming.jobs import start_imports, start_purchases, write_notifications
+from storeflow.warehouse import Warehouse
 
 # Receipts before this day make the opening stock of the merge queries.
 OPENING_DAY = "1998-01-01"
@@ -190,7 +191,9 @@ def import_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Import invoices without a line: orders of which nothing has been received."""
     r = Retail(spark, folder)
     orders = r.table("orders").select(F.col("o_orderkey").cast("string").alias("import_id"))
-    documents = orders.join(r.import_documents(), "import_id", "left")
+    order = F.substring_index("import_id", "-", 1)
+    delivered = r.import_documents().withColumn("import_id", order)
+    documents = orders.join(delivered, "import_id", "left")
     rejected = invoices.rejects(documents, "items", "import_id", IMPORT_INVOICE)
     return rejected.select("source_id", "reason")
 
@@ -344,6 +347,15 @@ def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.stock_on_hand(store.read("movements"))
 
 
+def stream_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """The same stock, read from the inventory log after a snapshot was published."""
+    r, store = Retail(spark, folder), _new_store(spark, *DIMENSIONS)
+    _drain(_start_imports(r, store) + _start_purchases(r, store))
+    warehouse = Warehouse(store)
+    warehouse.publish_stock(0, streams_stopped=True)
+    return warehouse.current_inventory().drop("last_updated")
+
+
 def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
     messages, base = _purchase_feed(Retail(spark, folder))
     sink = {"path": f"{base}/out"}
@@ -364,6 +376,6 @@ QUERIES = {
         purchase_messages,
         line_amounts, invoice_totals, pk_violations, fk_orphans, null_violations,
         stream_import_items, stream_import_invoices, stream_sales_fact, stream_star_reports,
-        stream_stock, stream_notifications,
+        stream_stock, stream_inventory, stream_notifications,
     )
 }

@@ -332,5 +332,6 @@ ORACLES: dict[str, str] = {
         FROM ({_PURCHASE_LINES})""",
     "stream_star_reports": _SPEND_BY_CUSTOMER,
     "stream_stock": _STREAM_STOCK,
+    "stream_inventory": _STREAM_STOCK,
     "stream_notifications": _NOTIFICATIONS,
 }
