@@ -25,9 +25,10 @@ def with_event_time(df: DataFrame, column: str, out: str | None = None) -> DataF
     return df.withColumn(out or column, F.col(column).try_cast("timestamp_ntz"))
 
 
-def second_of(ts: Column | str) -> Column:
-    """Event time cut to the whole second."""
-    return F.date_trunc("second", ts).cast("timestamp_ntz")
+def second_of(ts: str) -> Column:
+    """Event time cut to the whole second, without a detour over the session zone."""
+    fraction = F.extract(F.lit("SECOND"), ts) - F.second(ts)
+    return F.col(ts) - F.make_dt_interval(secs=fraction)
 
 
 def time_key(ts: Column | str) -> Column:

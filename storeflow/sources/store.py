@@ -41,9 +41,10 @@ class ParquetStore:
         return self
 
     def append(self, df: DataFrame, table: str, source: str, batch_id: int) -> None:
-        columns = TABLES[table].fieldNames()
+        """Write one batch into its partition, in as few files as its size allows."""
+        rows = df.select(*TABLES[table].fieldNames()).hint("rebalance")
         target = f"{self.root}/{table}/source={source}/batch_id={batch_id}"
-        df.select(*columns).write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").parquet(target)
 
     def read(self, table: str, before_batch: int | None = None) -> DataFrame:
         """The table; ``before_batch`` leaves out that batch and later ones."""
@@ -82,8 +83,7 @@ class ParquetStore:
 
         Run it while no stream writes, then restart the streams on the new root with
         their old checkpoints.  Batches the newest stock snapshot covers stay apart
-        from later ones, and snapshots from each other.  Each copy is spread over as
-        many files as its size calls for.
+        from later ones, and snapshots from each other.
         """
         _, covered = self.last_snapshot()
         for table in tables:
@@ -98,7 +98,7 @@ class ParquetStore:
                     spans = [s for s in ((0, mark), (mark + 1, newest)) if s[0] <= s[1]]
                 for first, last in spans:
                     part = mine.where(F.col("batch_id").between(first, last))
-                    other.append(part.hint("rebalance"), table, stream, last)
+                    other.append(part, table, stream, last)
 
 
 class JdbcStore:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -79,3 +81,11 @@ def movements(spark, rows):
 def rows_of(df, *columns) -> set:
     chosen = df.select(*columns) if columns else df
     return {tuple(r) for r in chosen.collect()}
+
+
+def plan_of(df, mode="formatted") -> str:
+    """What ``explain`` prints."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()

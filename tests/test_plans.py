@@ -1,14 +1,13 @@
 """What the physical plans must and must not contain."""
 
 import ast
-import contextlib
-import io
 import re
 from pathlib import Path
 
 import pytest
 
 from oracle import TESTDATA
+from rows import plan_of
 from storeflow import catalog
 from storeflow.plans.views import Retail
 
@@ -16,13 +15,6 @@ FOLDER = str(TESTDATA / "sf0.001")
 PACKAGE = Path(catalog.__file__).parent
 
 
-def plan_of(df, mode="formatted") -> str:
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain(mode)
-    return out.getvalue()
-
-
 @pytest.mark.parametrize("name", sorted(n for n in catalog.QUERIES if not n.startswith("stream_")))
 def test_no_cross_join_no_python_no_single_task(spark, name):
     plan = plan_of(catalog.QUERIES[name](spark, FOLDER))

@@ -60,6 +60,18 @@ def test_time_key_does_not_depend_on_the_session_zone(spark):
     assert seen == {(1741487400, 2, 30, "2025-03-09")}
 
 
+def test_second_of_does_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2025-03-09 02:30:07.654321",)], "t string")
+        cut = columns.with_event_time(df, "t").select(columns.second_of("t").alias("s"))
+        assert cut.dtypes == [("s", "timestamp_ntz")]
+        assert str(cut.collect()[0]["s"]) == "2025-03-09 02:30:07"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_time_key_before_1970(spark):
     df = spark.createDataFrame([("1969-12-31 23:59:59",)], "t string")
     assert columns.with_event_time(df, "t").select(columns.time_key("t")).collect()[0][0] == -1
