@@ -349,7 +349,7 @@ def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """The same stock, read from the inventory log after a snapshot was published."""
-    r, store = Retail(spark, folder), _new_store(spark, *DIMENSIONS)
+    r, store = Retail(spark, folder), _new_store(spark, *TABLES)
     _drain(_start_imports(r, store) + _start_purchases(r, store))
     warehouse = Warehouse(store)
     warehouse.publish_stock(0, streams_stopped=True)
