@@ -103,7 +103,8 @@ def running_before(
 
     Ordinary keys take one window over the key.  Heavy keys are cut into ordered
     ranges that fit a task each; sums of whole ranges, one row per key and range,
-    then say where every range starts.
+    then say where every range starts.  ``order_by`` should tell rows apart: rows equal
+    in all of it stay in one range.
 
     ``until`` names a column of limits: rows whose earlier sum has reached it may be
     missing from the result.  With values above zero, ranges that start there are

@@ -130,8 +130,10 @@ class Retail:
         profile = profile_keys(lines, "source_id", heavy_rows=DOCUMENT_LINES)
         document = ["source_id"]
         if profile.heavy:
-            spread = F.pmod(F.xxhash64("line_no", "product_id", "quantity", "price"), F.col("_splits"))
-            lines = lines.join(profile.splits(lines), "source_id", "left").withColumn(
+            # Numbered by place in the file, so equal lines spread as well.
+            numbered = lines.withColumn("_row", F.monotonically_increasing_id())
+            spread = F.pmod("_row", "_splits")
+            lines = numbered.join(profile.splits(lines), "source_id", "left").withColumn(
                 "part", F.coalesce(spread, F.lit(0)).cast("int")
             )
             document.append("part")

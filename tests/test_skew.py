@@ -163,6 +163,7 @@ def test_long_orders_become_several_documents(spark, monkeypatch):
     r = Retail(spark, FOLDER)
     docs = r.import_documents()
     assert docs.where("import_id like '%-%'").count() > 0
+    assert docs.agg(F.max(F.size("items"))).first()[0] < 10
     lines = docs.select(F.split("import_id", "-")[0].alias("id"), F.explode("items").alias("i"))
     got = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("i.price").alias("s"))
     want = r.received().groupBy(F.col("source_id").cast("string").alias("id")).agg(
@@ -171,6 +172,19 @@ def test_long_orders_become_several_documents(spark, monkeypatch):
     assert rows_of(got) == rows_of(want)
 
 
+def test_an_order_of_equal_lines_is_spread(spark, tmp_path, monkeypatch):
+    from storeflow.plans import views
+
+    monkeypatch.setattr(views, "DOCUMENT_LINES", 50)
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").where("l_linestatus = 'F'")
+    copies = lines.limit(1).crossJoin(spark.range(1000)).drop("id")
+    copies.unionByName(lines).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.read.parquet(f"{FOLDER}/part.parquet").write.parquet(str(tmp_path / "part.parquet"))
+    docs = Retail(spark, str(tmp_path)).import_documents()
+    sizes = docs.agg(F.sum(F.size("items")), F.max(F.size("items"))).first()
+    assert sizes[0] == 1000 + lines.count() and sizes[1] < 100
+
+
 def test_adaptive_split_of_a_skewed_join(spark):
     """Joins left to Spark are split by it when one key dominates."""
     settings = {
