@@ -8,14 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeflow.llm import quality_rules as rules
-from storeflow.llm import secret_scan, url_filter
+from storeflow.llm import bpe, packing, secret_scan, url_filter
 from storeflow.llm.common import table
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages"))
 
 
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe.encode_documents(table(spark, folder, "documents"))
+    return bpe.decode_documents(bpe.id_text(encoded)).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_text", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, folder, "documents"))
     base = [rule.kind for rule in secret_scan.BASE_RULES]
@@ -55,7 +69,9 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
     "op5_url_filter": op5_url_filter,
+    "op6_bpe": op6_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
 }
