@@ -30,7 +30,7 @@ from storeflow.llm.common import id_and_text, partitions
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Characters of a block; a longer document is a block of its own.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 3_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
