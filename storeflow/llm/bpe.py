@@ -271,12 +271,12 @@ def id_text(encoded: DataFrame, ids_col: str = "ids") -> DataFrame:
     place = encoded.columns.index(ids_col)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digits: dict[int, bytes] = {}
+        digits = [b"%d" % i for i in range(1 << 16)]
         for batch in batches:
             out = []
             for ids in batch.column(place).to_pylist():
                 values = np.frombuffer(ids, "<u4").tolist()
-                digits.update((i, b"%d" % i) for i in set(values) - digits.keys())
+                digits.extend(b"%d" % i for i in range(len(digits), max(values, default=0) + 1))
                 out.append(b",".join([digits[i] for i in values]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "ids_text"]

@@ -53,7 +53,7 @@ def hashed_ngrams(texts: Iterator[str], buckets: int = BUCKETS) -> Iterator[np.n
         if len(known) > 500_000:
             known.clear()
         found = find(text)
-        for token in set(found) - known.keys():
+        for token in {t for t in found if t not in known}:
             known[token] = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
         hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
         with np.errstate(over="ignore"):
