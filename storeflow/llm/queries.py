@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeflow.llm import quality_rules as rules
-from storeflow.llm import bpe, packing, quality_classifier, secret_scan, url_filter
+from storeflow.llm import bpe, jaccard_join, packing, quality_classifier, secret_scan, url_filter
 from storeflow.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, folder, "documents"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -74,6 +78,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_packing": op4_packing,
     "op5_url_filter": op5_url_filter,
     "op6_bpe": op6_bpe,
