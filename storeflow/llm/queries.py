@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeflow.llm import quality_rules as rules
-from storeflow.llm import bpe, jaccard_join, packing, quality_classifier, secret_scan, url_filter
+from storeflow.llm import bpe, jaccard_join, lm_scoring, packing, quality_classifier, secret_scan, url_filter
 from storeflow.llm.common import table
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, folder, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -77,6 +81,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_packing": op4_packing,
