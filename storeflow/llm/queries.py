@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeflow.llm import quality_rules as rules
-from storeflow.llm import bpe, jaccard_join, lm_scoring, packing, quality_classifier, secret_scan, url_filter
+from storeflow.llm import bpe, jaccard_join, lm_scoring, packing, quality_classifier, secret_scan, substring_dedup, url_filter
 from storeflow.llm.common import table
 
 
@@ -80,6 +80,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _URL_RULES = {
