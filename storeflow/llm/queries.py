@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeflow.llm import quality_rules as rules
-from storeflow.llm import bpe, jaccard_join, lm_scoring, packing, quality_classifier, secret_scan, substring_dedup, url_filter
+from storeflow.llm import (
+    bpe,
+    jaccard_join,
+    lm_scoring,
+    nn_descent,
+    packing,
+    quality_classifier,
+    secret_scan,
+    substring_dedup,
+    url_filter,
+)
 from storeflow.llm.common import table
 
 
@@ -80,6 +90,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return nn_descent.nearest_neighbours(table(spark, folder, "embeddings"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents"))
 
@@ -93,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_nn_descent": op9_nn_descent,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
