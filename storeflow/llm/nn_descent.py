@@ -24,15 +24,16 @@ from pyspark.sql import functions as F
 from storeflow.llm.common import partitions, stored
 
 TOP = 20
-DEGREE = 24  # neighbours kept per node
-REVERSE = 24  # reverse neighbours that take part in a round
-ROUNDS = 3
+DEGREE = 40  # neighbours kept per node
+REVERSE = 40  # reverse neighbours that take part in a round
+ROUNDS = 7
 PROJECTIONS = 4
 SIGNS = 6
 CHUNK = 256
-BEAM = 120  # nodes a query remembers
-EXPAND = 24  # nodes a query expands in a round
-SEARCH_ROUNDS = 3
+BEAM = 240  # nodes a query remembers
+EXPAND = 96  # nodes a query expands in a round
+SEARCH_ROUNDS = 5
+SENT = 16  # improvements that a bucket sends to one node in a round
 BUCKET_NODES = 5_000
 SEED = 5
 
@@ -204,7 +205,7 @@ def build_graph(nodes: DataFrame, width: int, deal: int, degree: int = DEGREE, r
                 one, two = np.nonzero(good)
                 out.append((members[one], members[at[one, two]], top[good]))
             a, b, s = (np.concatenate(c) for c in zip(*out, strict=True))
-            best = _best(a, b, s.astype("f4"), degree)
+            best = _best(a, b, s.astype("f4"), SENT)
             return pd.DataFrame({"owner": ids[a[best]], "other": ids[b[best]], "sim": s[best].astype("f4")})
 
         better = sent.groupBy("bucket").applyInPandas(local, "owner long, other long, sim float")
