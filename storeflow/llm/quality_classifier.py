@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from storeflow.llm.common import id_and_text, rows, stored
 
 BUCKETS = 1 << 16
-SMOOTHING = 1.0
+# The target model is drawn towards the raw one as by so many n-grams per bucket, each as likely as there: what a small
+# target sample cannot have shown is not held against a text.
+SMOOTHING = 2.0
 # The target model is fitted on at most so many labelled documents, those with the smallest hashes.
 MAX_LABELLED = 200_000
 # Of the Gumbel noise: log weights are sums over hundreds of n-grams, far larger.
@@ -102,10 +104,11 @@ def fit(docs: DataFrame, targets: np.ndarray, buckets: int = BUCKETS) -> np.ndar
         .agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
         .collect()  # at most ``buckets`` rows
     )
-    counts = np.full((2, buckets), SMOOTHING)
+    counts = np.zeros((2, buckets))
     for bucket, target, raw in found:
-        counts[:, bucket] += target, raw
-    return np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+        counts[:, bucket] = target, raw
+    expected = counts[1] * (counts[0].sum() / max(counts[1].sum(), 1.0))
+    return np.log(counts[0] + SMOOTHING) - np.log(expected + SMOOTHING)
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
