@@ -11,6 +11,7 @@ A word as common as one likes travels once per block, whatever it counts there.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Callable, Iterator
 
@@ -31,6 +32,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Characters of a block; a longer document is a block of its own.
 BLOCK_CHARS = 3_000_000
+# Stretches whose pre-tokens a task remembers.
+MOST_PIECES = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -70,6 +73,7 @@ def pre_tokens(pattern: str) -> Callable[[str, dict[str, int]], np.ndarray]:
     find = regex.compile(pattern).findall
     known: dict[str, list[int] | None] = {}
     owner: list[dict[str, int]] = [{}]
+    pieces: dict[str, list[str]] = {}
 
     def split(text: str, words: dict[str, int]) -> np.ndarray:
         if owner[0] is not words:
@@ -77,7 +81,14 @@ def pre_tokens(pattern: str) -> Callable[[str, dict[str, int]], np.ndarray]:
             owner[0] = words
 
         def places(part: str) -> list[int]:
-            return [words.setdefault(w, len(words)) for w in find(part)]
+            found = pieces.get(part)
+            if found is None:
+                found = find(part)
+                if len(part) < 40:
+                    if len(pieces) > MOST_PIECES:
+                        pieces.clear()
+                    pieces[part] = found
+            return [words.setdefault(w, len(words)) for w in found]
 
         head, *rest = text.split(" ")
         out = places(head)
@@ -126,14 +137,20 @@ def encode_documents(
     text_col: str = "text",
     ranks_path: str = RANKS,
     pattern: str = PATTERN,
+    result: Callable[[list[int]], tuple] | None = None,
+    result_schema: str = "ids binary",
 ) -> DataFrame:
     """One row per document: (doc_id, n_tokens, ids), ids as little-endian 32-bit numbers.
 
+    With ``result``, the columns of ``result_schema`` instead of ids, as it makes them from a document's ids: where only
+    a digest is wanted, ids then need not leave the task.
+
     Null and empty texts have no ids.  Repeated rows and null ids are encoded like any other row; other columns
     are not looked at.
     """
     source = id_and_text(docs, id_col, text_col)
     deal = partitions(docs.sparkSession)
+    columns = ["doc_id", "n_tokens", *(field.split()[0] for field in result_schema.split(","))]
 
     def words_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, words, _ in _blocks(batches, pattern):
@@ -196,7 +213,7 @@ def encode_documents(
             )
 
     def together(places: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        names = {"doc_id": [], "n_tokens": [], "ids": []}
+        rows: list[tuple] = []
         if len(places):
             n = int(places["n_words"].iloc[0])
             counts, parts = np.full(n, -1, np.int64), []
@@ -218,10 +235,8 @@ def encode_documents(
                     mine = all_places[end : end + length].astype(np.int64)
                     end += length
                     ids = table[_ranges(begins[mine], counts[mine])]
-                    names["doc_id"].append(doc)
-                    names["n_tokens"].append(len(ids))
-                    names["ids"].append(ids.tobytes())
-        out = pd.DataFrame(names)
+                    rows.append((doc, len(ids), *(result(ids.tolist()) if result else (ids.tobytes(),))))
+        out = pd.DataFrame(rows, columns=columns)
         return out.astype({"doc_id": "Int64", "n_tokens": "int64"})
 
     encoded = (
@@ -231,7 +246,7 @@ def encode_documents(
     )
     placed = source.mapInArrow(places_out, "block long, n_words long, docs array<long>, places binary")
     return placed.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
-        together, "doc_id long, n_tokens long, ids binary"
+        together, f"doc_id long, n_tokens long, {result_schema}"
     )
 
 
@@ -244,19 +259,40 @@ def _ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(ends - counts - begins, counts)
 
 
+def token_bytes(ranks_path: str = RANKS) -> list[bytes]:
+    """The token-byte table: as many entries as the vocabulary, held by every task that decodes."""
+    ranks = read_ranks(ranks_path)
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def decode_ids(ids: list[int], table: list[bytes]) -> bytes:
+    return b"".join([table[i] for i in ids])
+
+
+def digests(ranks_path: str = RANKS) -> Callable[[list[int]], tuple[str, str]]:
+    """SHA-256 of the decimal ids joined by commas, and of the decoded bytes."""
+    table = token_bytes(ranks_path)
+    digits = [b"%d" % i for i in range(len(table))]
+
+    def both(ids: list[int]) -> tuple[str, str]:
+        listed = b",".join([digits[i] for i in ids])
+        return hashlib.sha256(listed).hexdigest(), hashlib.sha256(decode_ids(ids, table)).hexdigest()
+
+    return both
+
+
 def decode_documents(encoded: DataFrame, ids_col: str = "ids", ranks_path: str = RANKS) -> DataFrame:
-    """The same rows with ``decoded`` (bytes): ids looked up in the token-byte table, which every executor
-    holds; it has as many entries as the vocabulary.  Null ids give null; an unknown id raises."""
+    """The same rows with ``decoded`` (bytes).  Null ids give null; an unknown id raises."""
     place = encoded.columns.index(ids_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(ranks_path)
-        table = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            table[rank] = token
+        table = token_bytes(ranks_path)
         for batch in batches:
             out = [
-                None if ids is None else b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+                None if ids is None else decode_ids(np.frombuffer(ids, "<u4").tolist(), table)
                 for ids in batch.column(place).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(

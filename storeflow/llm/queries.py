@@ -43,12 +43,10 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode_documents(table(spark, folder, "documents"))
-    return bpe.decode_documents(bpe.id_text(encoded)).select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids_text", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    return bpe.encode_documents(
+        table(spark, folder, "documents"),
+        result=bpe.digests(),
+        result_schema="ids_sha256 string, decoded_sha256 string",
     )
 
 
