@@ -191,9 +191,10 @@ def import_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Import invoices without a line: orders of which nothing has been received."""
     r = Retail(spark, folder)
     orders = r.table("orders").select(F.col("o_orderkey").cast("string").alias("import_id"))
-    order = F.substring_index("import_id", "-", 1)
-    delivered = r.import_documents().withColumn("import_id", order)
-    documents = orders.join(delivered, "import_id", "left")
+    delivered = r.received().select(F.col("source_id").cast("string").alias("import_id")).distinct()
+    documents = orders.join(delivered, "import_id", "left_anti").withColumn(
+        "items", F.lit(None).cast(IMPORT_INVOICE["items"].dataType)
+    )
     rejected = invoices.rejects(documents, "items", "import_id", IMPORT_INVOICE)
     return rejected.select("source_id", "reason")
 

@@ -56,8 +56,9 @@ def calendar(ts: str) -> list[Column]:
 
 
 def stamped(df: DataFrame, column: str) -> DataFrame:
-    """Add the time of writing."""
-    return df.withColumn(column, F.localtimestamp())
+    """Add the time of writing, in UTC: later rows carry later times, also when a clock goes back."""
+    since_1970 = F.make_dt_interval(secs=(F.unix_micros(F.current_timestamp()) / 1_000_000).cast("decimal(18,6)"))
+    return df.withColumn(column, F.lit("1970-01-01").cast("timestamp_ntz") + since_1970)
 
 
 def money_label(amount: Column | str) -> Column:

@@ -24,6 +24,9 @@ from storeflow.plans.skew import (
 # Order in which movements of one product happened.
 MOVEMENT_ORDER = ["event_time", "source_id", "line_no"]
 
+# Kinds of movement.
+RECEIPT, SALE = "receipt", "sale"
+
 STOCK_COLUMNS = ["product_id", "product_name", "quantity", "sale_prices", "reorder_level"]
 
 
@@ -62,7 +65,7 @@ def _newest_with_ties(inventory: DataFrame, heavy_rows: int) -> DataFrame:
         return rows.withColumn("_place", place).where("_place = 1").drop("_place")
 
     profile = profile_keys(inventory, "product_id", heavy_rows)
-    if not profile.heavy:
+    if profile.heavy is None:
         return leading(inventory)
     hot = profile.only_heavy(inventory)
     newest = hot.groupBy("product_id").agg(F.max("last_updated").alias("last_updated"))
@@ -145,6 +148,7 @@ def receipts(lines: DataFrame) -> DataFrame:
         "line_no",
         "quantity",
         "price",
+        F.lit(RECEIPT).alias("kind"),
     )
 
 
@@ -158,38 +162,45 @@ def withdrawals(lines: DataFrame) -> DataFrame:
         "line_no",
         (-F.col("quantity")).alias("quantity"),
         "price",
+        F.lit(SALE).alias("kind"),
     )
 
 
+def _is_receipt(movements: DataFrame) -> Column:
+    """By ``kind``, so a customer's return is no receipt and a receipt of 0 units is one; by sign without it."""
+    return F.col("kind") == RECEIPT if "kind" in movements.columns else F.col("quantity") > 0
+
+
 def stock_on_hand(
     movements: DataFrame,
     order_by: list[str] = MOVEMENT_ORDER,
     reorder_levels: DataFrame | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Stock per product from signed movements (receipts > 0, sales < 0).
+    """Stock per product from signed movements.
 
     A product exists from its first receipt; that receipt fixes name and price, and
-    sales before it do not count.  ``reorder_levels`` (product_id, reorder_level)
+    sales before it do not count.  Sales without a readable time count as after it, receipts without
+    one come last.  ``reorder_levels`` (product_id, reorder_level)
     overrides the default level.
 
     Receipts are folded without a join and kept, one row per product: they are both
     the lookup that says which sales count and one side of the result.
     """
     incoming = freeze(
-        movements.where("quantity > 0")
+        movements.where(_is_receipt(movements))
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("received"),
-            F.min(F.struct(*order_by, _first_price(), _name_of(movements))).alias("first"),
+            F.min(F.struct(F.isnull(order_by[0]).alias("untimed"), *order_by, _first_price(), _name_of(movements))).alias("first"),
         )
     )
     opening = incoming.select("product_id", F.struct(*[f"first.{c}" for c in order_by]).alias("opened"))
     columns = dict.fromkeys(["product_id", *order_by, "quantity"])
-    outgoing = movements.where("quantity < 0").select(*columns)
+    outgoing = movements.where(~_is_receipt(movements)).select(*columns)
     sold = (
         lookup_join(outgoing, opening, "product_id", incoming.count(), heavy_rows=heavy_rows)
-        .where(F.struct(*order_by) >= F.col("opened"))
+        .where(F.isnull(order_by[0]) | (F.struct(*order_by) >= F.col("opened")))
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("sold"))
     )
@@ -211,22 +222,32 @@ def roll_forward(
     inventory: DataFrame,
     movements: DataFrame,
     order_by: list[str] = MOVEMENT_ORDER,
+    history: DataFrame | None = None,
+    reorder_levels: DataFrame | None = None,
 ) -> DataFrame:
     """Stock after ``inventory`` and the movements that followed it.
 
-    Products in the snapshot keep name, price and level and take every movement;
-    others follow :func:`stock_on_hand` over the new movements.  Costs what is new
-    plus one row per product, however long the history is.
+    Products in the snapshot keep name and price and take every movement; ``reorder_levels``
+    overrides their level.  Others follow :func:`stock_on_hand` over what ``history`` (all
+    movements up to now, the new ones included) holds of just those products, so a sale that
+    came before its product's import is not lost.  Without products new to the snapshot the join
+    below finds nothing to look for.
     """
     known = inventory.select(*STOCK_COLUMNS)
     moved = movements.groupBy("product_id").agg(F.sum("quantity").alias("units"))
     carried = known.join(moved, "product_id", "left").withColumn(
         "quantity", F.col("quantity") + F.coalesce("units", F.lit(0))
     )
-    opened = stock_on_hand(movements, order_by)
-    return carried.select(*STOCK_COLUMNS).unionByName(
-        opened.join(known.select("product_id"), "product_id", "left_anti").select(*STOCK_COLUMNS)
-    )
+    if reorder_levels is not None:
+        levels = reorder_levels.select("product_id", F.col("reorder_level").alias("_level"))
+        carried = carried.join(levels, "product_id", "left").withColumn(
+            "reorder_level", F.coalesce("_level", "reorder_level").cast("int")
+        )
+    fresh = movements.where(_is_receipt(movements)).select("product_id").distinct()
+    fresh = freeze(fresh.join(known.select("product_id"), "product_id", "left_anti"))
+    of_fresh = (movements if history is None else history).join(fresh, "product_id", "left_semi")
+    opened = stock_on_hand(of_fresh, order_by, reorder_levels)
+    return carried.select(*STOCK_COLUMNS).unionByName(opened.select(*STOCK_COLUMNS))
 
 
 def low_stock(stock: DataFrame) -> DataFrame:

@@ -26,6 +26,11 @@ def message_id(columns: list[str]) -> Column:
     return F.hex(F.xxhash64("value"))
 
 
+def _first_line(invoices: DataFrame) -> Column:
+    """Number of a document's first line: 0 unless it continues an order."""
+    return F.coalesce("first_line", F.lit(0)) if "first_line" in invoices.columns else F.lit(0)
+
+
 def _without_lines(items: str) -> Column:
     return F.col(items).isNull() | (F.size(items) == 0)
 
@@ -64,22 +69,27 @@ def explode_purchases(invoices: DataFrame) -> DataFrame:
         "customer_name",
         "total_invoice_amount",
         "timestamp",
+        _first_line(invoices).alias("_first"),
         F.posexplode_outer("purchased_items").alias("line_no", "item"),
     ).where("line_no IS NOT NULL")
     return lines.select(
-        "source_id", "line_no", "customer_id", "customer_name", "total_invoice_amount", "timestamp",
+        "source_id", (F.col("_first") + F.col("line_no")).alias("line_no"), "customer_id", "customer_name", "total_invoice_amount", "timestamp",
         "item.product_id", "item.product_name", "item.quantity", "item.price", "item.total_price",
     )
 
 
 def explode_imports(invoices: DataFrame) -> DataFrame:
     """One row per delivered item.  Invoices without items give no row."""
-    lines = invoices.selectExpr(
-        "import_id", "delivery_hour", "total_invoice_amount", "posexplode(items) as (line_no, item)"
+    lines = invoices.select(
+        "import_id",
+        "delivery_hour",
+        "total_invoice_amount",
+        _first_line(invoices).alias("_first"),
+        F.posexplode("items").alias("line_no", "item"),
     )
     return lines.select(
         "import_id",
-        "line_no",
+        (F.col("_first") + F.col("line_no")).alias("line_no"),
         "delivery_hour",
         "total_invoice_amount",
         "item.product_id",
@@ -95,6 +105,15 @@ def import_invoices(lines: DataFrame) -> DataFrame:
     return lines.select("import_id", "delivery_hour", "total_invoice_amount").distinct()
 
 
+def import_headers(invoices: DataFrame) -> DataFrame:
+    """Headers of the import invoices that have lines, one row each, without exploding them.
+
+    Of an order in several documents the first gives the header.
+    """
+    first = invoices.where(~_without_lines("items") & (_first_line(invoices) == 0))
+    return first.select("import_id", "delivery_hour", "total_invoice_amount").distinct()
+
+
 def import_items(lines: DataFrame) -> DataFrame:
     """Rows of the items table.  The id is the invoice and the place in it."""
     return lines.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from storeflow.plans.views import DOCUMENT_LINES
+
 _OPENING = "TIMESTAMP '1998-01-01 00:00:00'"
 
 # Lines of one status with the columns the queries use.
@@ -177,6 +179,18 @@ FROM ({_PURCHASE_LINES})
 _ITEMS = f"'[' || string_agg({_json(**_ITEM_FIELDS)}, ',' ORDER BY line_no) || ']'"
 _DOCUMENT = _json(**_HEAD_FIELDS, purchased_items=_ITEMS, **_TOTAL_FIELD, **_TIME_FIELD)
 
+
+def purchase_messages(document_lines: int) -> str:
+    """One message per order and ``document_lines`` lines; those after the first say where they start."""
+    first = f"line_no // {document_lines} * {document_lines}"
+    return f"""
+        SELECT customer_id AS key,
+               CASE WHEN {first} = 0 THEN {_DOCUMENT}
+                    ELSE rtrim({_DOCUMENT}, '}}') || ',"first_line":' || ({first}) || '}}' END AS value
+        FROM ({_PURCHASE_LINES})
+        GROUP BY source_id, customer_id, customer_name, total_invoice_amount, timestamp, {first}"""
+
+
 # Movements as the two streams write them: receipts at their delivery, sales at
 # their order; at the same time receipts come first.
 _STREAM_STOCK = f"""
@@ -287,10 +301,7 @@ ORACLES: dict[str, str] = {
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')""",
     "purchase_lines": f"SELECT * EXCLUDE (source_id) FROM ({_PURCHASE_LINES})",
     "notifications": _NOTIFICATIONS,
-    "purchase_messages": f"""
-        SELECT customer_id AS key, {_DOCUMENT} AS value
-        FROM ({_PURCHASE_LINES})
-        GROUP BY source_id, customer_id, customer_name, total_invoice_amount, timestamp""",
+    "purchase_messages": purchase_messages(DOCUMENT_LINES),
     "line_amounts": """
         SELECT l_partkey AS product_id, l_orderkey AS import_id, l_linenumber AS line_no,
                CAST(l_quantity AS INTEGER) AS quantity,

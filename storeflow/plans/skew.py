@@ -1,70 +1,55 @@
 """Work per key when one key may hold a large part of all rows.
 
-``profile_keys`` counts rows per key once (partial counts per task, so a hot key
-costs no more than any other) and brings at most ``top`` heavy keys to the
-driver.  The joins and running sums below split exactly those keys.
+``profile_keys`` counts rows per key (partial counts per task, so a hot key costs no
+more than any other).  Heavy keys stay a table: joins leave their rows where they are,
+running sums cut all rows into ranges as soon as one key is heavy.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import ceil
-from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storeflow.plans.lineage import freeze
 
 # A key above this many rows is split.
 HEAVY_ROWS = 2_000_000
-# Most heavy keys looked at; every other key then holds at most 1/HEAVY_KEYS of the rows.
-HEAVY_KEYS = 5_000
+# Keys above 1/HEAVY_KEYS of all rows are heavy too, so there are at most that many heavy keys; any
+# other key holds less than a task's share of the rows.
+HEAVY_KEYS = 200_000
 # A lookup side of at most this many (narrow) rows is sent to every executor.
 BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """Row counts of a key column: number of keys, and the heavy ones."""
+    """Row counts of a key column, and its heavy keys as a table (None: there are none)."""
 
     key: str
-    key_type: T.DataType
-    distinct: int
+    rows: int
+    largest: int
     heavy_rows: int
-    heavy: dict[Any, int] = field(default_factory=dict)
-
-    def splits(self, df: DataFrame) -> DataFrame:
-        """(key, _splits) of the heavy keys: at most ``HEAVY_KEYS`` rows."""
-        schema = T.StructType(
-            [T.StructField(self.key, self.key_type), T.StructField("_splits", T.IntegerType())]
-        )
-        rows = [(k, ceil(n / self.heavy_rows)) for k, n in self.heavy.items()]
-        return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    heavy: DataFrame | None = None
 
     def only_heavy(self, df: DataFrame) -> DataFrame:
-        return df.join(self.splits(df).select(self.key), self.key, "left_semi")
+        return df.join(F.broadcast(self.heavy), self.key, "left_semi")
 
     def without_heavy(self, df: DataFrame) -> DataFrame:
-        return df.join(self.splits(df).select(self.key), self.key, "left_anti")
-
-
-def profile_keys(
-    df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, top: int = HEAVY_KEYS
-) -> KeyProfile:
-    """Count rows per key in one pass over the key column.  Runs a job."""
-    seen = Observation()
-    counts = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .observe(seen, F.count(F.lit(1)).alias("keys"))
-    )
-    heavy = counts.where(F.col("n") > heavy_rows).orderBy(F.desc("n")).limit(top).collect()
-    return KeyProfile(
-        key, df.schema[key].dataType, seen.get.get("keys", 0), heavy_rows, {r[key]: r["n"] for r in heavy}
-    )
+        return df.join(F.broadcast(self.heavy), self.key, "left_anti")
+
+
+def profile_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> KeyProfile:
+    """Count rows per key, and again for the heavy keys if there are any.  Runs jobs."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    seen = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+    rows, largest = seen["rows"] or 0, seen["largest"] or 0
+    heavy = None
+    if largest > heavy_rows:
+        heavy = freeze(counts.where(F.col("n") > max(heavy_rows, rows // HEAVY_KEYS)).select(key))
+    return KeyProfile(key, rows, largest, heavy_rows, heavy)
 
 
 def lookup_join(
@@ -84,7 +69,7 @@ def lookup_join(
     if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), key)
     profile = profile or profile_keys(rows, key, heavy_rows)
-    if not profile.heavy:
+    if profile.heavy is None:
         return rows.join(lookup, key)
     usual = profile.without_heavy(rows).join(lookup, key)
     hot = profile.only_heavy(rows).join(F.broadcast(profile.only_heavy(lookup)), key)
@@ -99,12 +84,12 @@ def running_before(
     out: str,
     until: str | None = None,
 ) -> DataFrame:
-    """Add Σ ``value`` over the rows of the same key that come earlier in ``order_by``.
+    """Add Σ ``value`` over the rows of the same key that come earlier in ``order_by``; rows without a key go.
 
-    Ordinary keys take one window over the key.  Heavy keys are cut into ordered
-    ranges that fit a task each; sums of whole ranges, one row per key and range,
-    then say where every range starts.  ``order_by`` should tell rows apart: rows equal
-    in all of it stay in one range.
+    Without heavy keys this is one window over the key.  Otherwise all rows are cut into
+    ordered ranges that fit a task each, however the rows are spread over keys.  Just the first
+    and last key of a range can go on elsewhere, so two rows per range say where each starts.
+    A row number is the last word in the order, so rows equal in ``order_by`` spread as well.
 
     ``until`` names a column of limits: rows whose earlier sum has reached it may be
     missing from the result.  With values above zero, ranges that start there are
@@ -117,27 +102,36 @@ def running_before(
         window = Window.partitionBy(*within).orderBy(*order).rowsBetween(*earlier)
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    if not profile.heavy:
+    df = df.where(F.col(key).isNotNull())
+    if profile.largest <= profile.heavy_rows:
         return df.withColumn(out, before(value, key, order=order_by))
 
-    usual = profile.without_heavy(df).withColumn(out, before(value, key, order=order_by))
-
     # Ranges are found by sampling, so they are fixed on disk before being used twice.
-    most = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(most, sum(ceil(n / profile.heavy_rows) for n in profile.heavy.values()) + 1)
-    hot = freeze(
-        profile.only_heavy(df)
-        .repartitionByRange(ranges, key, *order_by)
+    ranges = max(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(profile.rows / profile.heavy_rows)
+    )
+    order = [*order_by, "_row"]
+    cut = freeze(
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, key, *order)
         .withColumn("_range", F.spark_partition_id())
     )
-    # At most one row per range, and one more per key that shares a range.
-    starts = (
-        hot.groupBy(key, "_range")
+    ends = (
+        cut.groupBy("_range", key)
         .agg(F.sum(value).alias("_sum"))
-        .select(key, "_range", before("_sum", key, order=["_range"]).alias("_start"))
+        .groupBy("_range")
+        .agg(F.min(F.struct(key, "_sum")).alias("first"), F.max(F.struct(key, "_sum")).alias("last"))
+    )
+    starts = (
+        ends.select("_range", F.explode(F.array_distinct(F.array("first", "last"))).alias("end"))
+        .select("_range", f"end.{key}", "end._sum")
+        .withColumn("_start", before("_sum", key, order=["_range"]))
+        .drop("_sum")
+    )
+    cut = cut.join(F.broadcast(starts), [key, "_range"], "left").withColumn(
+        "_start", F.coalesce("_start", F.lit(0))
     )
-    hot = hot.join(F.broadcast(starts), [key, "_range"])
     if until:
-        hot = hot.where(F.col("_start") < F.col(until))
-    hot = hot.withColumn(out, before(value, key, "_range", order=order_by) + F.col("_start"))
-    return usual.unionByName(hot.select(*usual.columns))
+        cut = cut.where(F.col("_start") < F.col(until))
+    summed = cut.withColumn(out, before(value, key, "_range", order=order) + F.col("_start"))
+    return summed.select(*df.columns, out)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeflow.functions.columns import second_of
-from storeflow.plans.skew import profile_keys
+from storeflow.plans.skew import profile_keys, running_before
 from storeflow.schemas import MONEY
 
 # Lines of one order that go into one document; a longer order becomes several.
@@ -121,38 +121,32 @@ class Retail:
             F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name")
         )
 
-    def _documents(self, lines: DataFrame, amount: str) -> DataFrame:
-        """Lines nested per order: (source_id, part, shipped, total, items).
+    def _documents(self, lines: DataFrame, amount: str, document_lines: int | None) -> DataFrame:
+        """Lines nested per order: (source_id, part, first_line, shipped, total, items).
 
-        An order above ``DOCUMENT_LINES`` lines is delivered in several documents,
-        so no array grows with the data.
+        An order above ``document_lines`` lines is delivered in several documents, so no array
+        grows with the data.  They share the order's id, time and total; ``first_line`` says where
+        in the order a document starts (null: at its beginning), so lines are numbered alike at any size.
         """
-        profile = profile_keys(lines, "source_id", heavy_rows=DOCUMENT_LINES)
-        document = ["source_id"]
-        if profile.heavy:
-            # Numbered by place in the file, so equal lines spread as well.
-            numbered = lines.withColumn("_row", F.monotonically_increasing_id())
-            spread = F.pmod("_row", "_splits")
-            lines = numbered.join(profile.splits(lines), "source_id", "left").withColumn(
-                "part", F.coalesce(spread, F.lit(0)).cast("int")
-            )
-            document.append("part")
-        item = F.struct("line_no", "product_id", "quantity", "price", "product_name")
-        sc = self.spark.sparkContext
-        files = max(sc.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        nested = (
-            lines.join(self.products(), "product_id")
-            .repartition(files, *document)
-            .groupBy(*document)
-            .agg(
-                F.max("event_time").alias("shipped"),
-                F.sum("price").cast(MONEY).alias("total"),
-                F.sort_array(F.collect_list(item)).alias("items"),
-            )
-        )
-        if "part" not in document:
+        most = document_lines or DOCUMENT_LINES
+        profile = profile_keys(lines, "source_id")
+        place = ["line_no", "product_id", "quantity", "price", "product_name"]
+        lines = lines.join(self.products(), "product_id")
+        document = ["source_id", "part"]
+        whole = [F.max("event_time").alias("shipped"), F.sum("price").cast(MONEY).alias("total")]
+        items = F.sort_array(F.collect_list(F.struct(*place))).alias("items")
+        if profile.largest <= most:
+            sc = self.spark.sparkContext
+            files = max(sc.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            nested = lines.repartition(files, "source_id").groupBy("source_id").agg(*whole, items)
             nested = nested.withColumn("part", F.lit(0))
-        return nested.withColumn(
+        else:
+            numbered = running_before(lines.withColumn("_one", F.lit(1)), "_one", place, profile, "_place")
+            part = (F.col("_place") / most).cast("int").alias("part")
+            parts = numbered.select("source_id", part, *place).groupBy(*document).agg(items)
+            # A row per order meets a row per document: neither side has hot keys of any weight.
+            nested = parts.join(lines.groupBy("source_id").agg(*whole), "source_id")
+        return nested.withColumn("first_line", F.nullif(F.col("part") * most, F.lit(0))).withColumn(
             "items",
             F.transform(
                 "items",
@@ -166,17 +160,17 @@ class Retail:
             ),
         )
 
-    def import_documents(self) -> DataFrame:
+    def import_documents(self, document_lines: int | None = None) -> DataFrame:
         """Goods received as nested import invoices."""
-        suffix = F.when(F.col("part") > 0, F.concat(F.lit("-"), "part")).otherwise("")
-        return self._documents(self.received(), "total_amount").select(
-            F.concat(F.col("source_id").cast("string"), suffix).alias("import_id"),
+        return self._documents(self.received(), "total_amount", document_lines).select(
+            F.col("source_id").cast("string").alias("import_id"),
             F.col("shipped").cast("string").alias("delivery_hour"),
             F.col("total").alias("total_invoice_amount"),
             "items",
+            "first_line",
         )
 
-    def purchase_documents(self) -> DataFrame:
+    def purchase_documents(self, document_lines: int | None = None) -> DataFrame:
         """Goods sold as nested purchase invoices, with their place in a topic."""
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("source_id"),
@@ -184,7 +178,7 @@ class Retail:
             F.col("o_orderdate").cast("string").alias("timestamp"),
         )
         return (
-            self._documents(self.sold(), "total_price")
+            self._documents(self.sold(), "total_price", document_lines)
             .join(orders, "source_id")
             .join(self.customers(), "customer_id")
             .select(
@@ -195,6 +189,7 @@ class Retail:
                 F.col("items").alias("purchased_items"),
                 F.col("total").alias("total_invoice_amount"),
                 "timestamp",
+                "first_line",
             )
         )
 

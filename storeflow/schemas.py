@@ -29,6 +29,8 @@ IMPORT_INVOICE = _struct(
     delivery_hour=_STR,
     total_invoice_amount=MONEY,
     items=T.ArrayType(IMPORT_ITEM),
+    # Where in a long order this document starts; may be missing.
+    first_line=_INT,
 )
 
 PURCHASE_ITEM = _struct(product_id=_STR, product_name=_STR, quantity=_INT, price=MONEY, total_price=MONEY)
@@ -38,6 +40,7 @@ PURCHASE_INVOICE = _struct(
     purchased_items=T.ArrayType(PURCHASE_ITEM),
     total_invoice_amount=MONEY,
     timestamp=_STR,
+    first_line=_INT,
 )
 
 TABLES: dict[str, T.StructType] = {
@@ -54,7 +57,7 @@ TABLES: dict[str, T.StructType] = {
     ),
     "movements": _struct(
         product_id=_STR, product_name=_STR, event_time=_TS, source_id=_STR,
-        line_no=_INT, quantity=_INT, price=MONEY,
+        line_no=_INT, quantity=_INT, price=MONEY, kind=_STR,
     ),
     "product_dim": _struct(product_id=_STR, product_name=_STR),
     "customer_dim": _struct(customer_id=_STR, customer_name=_STR),

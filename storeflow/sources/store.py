@@ -82,20 +82,28 @@ class ParquetStore:
         """Copy the tables into another root, the batches of a stream put together.
 
         Run it while no stream writes, then restart the streams on the new root with
-        their old checkpoints.  Batches the newest stock snapshot covers stay apart
+        their old checkpoints; the newest batch of each may then run again.  Batches the newest stock snapshot covers stay apart
         from later ones, and snapshots from each other.
         """
         _, covered = self.last_snapshot()
+        # The newest batch of a stream, over all its tables, may be replayed and keeps a partition of its own.
+        by_table = {table: self.newest_batches(table) for table in TABLES}
+        last_batch: dict[str, int] = {}
+        for newest in by_table.values():
+            for stream, batch in newest.items():
+                last_batch[stream] = max(batch, last_batch.get(stream, batch))
         for table in tables:
             rows = self.batches(table)
-            for stream, newest in self.newest_batches(table).items():
+            for stream, newest in by_table[table].items():
                 mine = rows.where(F.col("source") == stream)
                 if stream == SNAPSHOTS:
                     ids = sorted(r[0] for r in mine.select("batch_id").distinct().collect())
                     spans = [(i, i) for i in ids]
                 else:
-                    mark = min(covered.get(stream, -1), newest)
-                    spans = [s for s in ((0, mark), (mark + 1, newest)) if s[0] <= s[1]]
+                    done = min(newest, last_batch[stream] - 1)
+                    mark = min(covered.get(stream, -1), done)
+                    cuts = ((0, mark), (mark + 1, done), (done + 1, newest))
+                    spans = [s for s in cuts if s[0] <= s[1]]
                 for first, last in spans:
                     part = mine.where(F.col("batch_id").between(first, last))
                     other.append(part, table, stream, last)

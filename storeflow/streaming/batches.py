@@ -42,7 +42,8 @@ def import_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Import invoices into stock movements, headers, items and rejects."""
     with _kept(batch):
         lines = with_event_time(invoices.explode_imports(batch), "delivery_hour")
-        headers = stamped(invoices.import_invoices(lines), "timestamp_inserted")
+        headers = with_event_time(invoices.import_headers(batch), "delivery_hour")
+        headers = stamped(headers, "timestamp_inserted")
         add = partial(store.append, source=IMPORTS, batch_id=batch_id)
         _together(
             batch.sparkSession,

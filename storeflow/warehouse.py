@@ -33,11 +33,13 @@ class Warehouse:
     def low_stock(self, reorder_levels: DataFrame | None = None) -> DataFrame:
         return inventory.low_stock(self.stock(reorder_levels))
 
-    def publish_stock(self, snapshot_id: int, streams_stopped: bool = False) -> None:
+    def publish_stock(
+        self, snapshot_id: int, streams_stopped: bool = False, reorder_levels: DataFrame | None = None
+    ) -> None:
         """Append today's stock to the inventory log.
 
-        Starts from the last snapshot and adds the batches that came since, so the cost
-        does not grow with the history.  The newest batch of each stream may still be
+        Starts from the last snapshot and adds the batches that came since; of the history it
+        reads no more than the movements of products new to the snapshot.  The newest batch of each stream may still be
         in writing and waits for the next snapshot, unless the streams have stopped.
         A snapshot is not reopened: later batches add to it, whatever time they carry.
         Needs a :class:`~storeflow.sources.store.ParquetStore`, whose rows know their batch.
@@ -46,16 +48,18 @@ class Warehouse:
         wait = 0 if streams_stopped else 1
         newest = self.store.newest_batches("movements")
         upto = covered | {stream: batch - wait for stream, batch in newest.items()}
-        fresh = F.lit(False)
+        fresh = seen = F.lit(False)
         for stream, batch in upto.items():
             since = covered.get(stream, -1)
             fresh |= (F.col("source") == stream) & F.col("batch_id").between(since + 1, batch)
-        tail = self.store.batches("movements").where(fresh).drop("source", "batch_id")
+            seen |= (F.col("source") == stream) & (F.col("batch_id") <= batch)
+        moves = self.store.batches("movements")
+        tail, history = (moves.where(part).drop("source", "batch_id") for part in (fresh, seen))
         if last is None:
-            stock = inventory.stock_on_hand(tail)
+            stock = inventory.stock_on_hand(tail, reorder_levels=reorder_levels)
         else:
             before = self.store.batches("inventory").where(F.col("batch_id") == last)
-            stock = inventory.roll_forward(before, tail)
+            stock = inventory.roll_forward(before, tail, history=history, reorder_levels=reorder_levels)
         self.store.append(stamped(stock, "last_updated"), "inventory", SNAPSHOTS, snapshot_id)
         # The marks come last: a snapshot without them is not built upon.
         marks = stock.sparkSession.createDataFrame(list(upto.items()), TABLES["snapshot_marks"])

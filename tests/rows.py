@@ -64,7 +64,7 @@ def messages(spark, docs, start=0):
 
 MOVEMENT = (
     "product_id string, product_name string, event_time timestamp_ntz, source_id string, "
-    "line_no int, quantity int, price decimal(15,2)"
+    "line_no int, quantity int, price decimal(15,2), kind string"
 )
 STOCK = (
     "product_id string, product_name string, quantity bigint, sale_prices decimal(15,2), "
@@ -74,7 +74,9 @@ STOCK = (
 
 def movements(spark, rows):
     """(product, seconds, source, line, signed quantity, price) tuples as movements."""
-    full = [(p, f"name {p}", at(s), src, n, q, money(c)) for p, s, src, n, q, c in rows]
+    full = [
+        (p, f"name {p}", at(s), src, n, q, money(c), "receipt" if q > 0 else "sale") for p, s, src, n, q, c in rows
+    ]
     return spark.createDataFrame(full, MOVEMENT)
 
 

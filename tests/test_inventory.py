@@ -168,3 +168,15 @@ def test_roll_forward_equals_the_whole_ledger(spark, cut):
     new = movements(spark, [r for r in rows if r[1] >= 100 * cut])
     rolled = inventory.roll_forward(inventory.stock_on_hand(old, ORDER), new, ORDER)
     assert rows_of(rolled) == rows_of(inventory.stock_on_hand(movements(spark, rows), ORDER))
+
+
+def test_kind_says_what_a_movement_is(spark):
+    """A return is no receipt, a receipt of 0 units is one, a sale without a time counts."""
+    moves = movements(
+        spark, [("A", 5, "I", 0, 20, 10), ("A", 0, "S1", 0, 2, 99), ("A", 6, "S2", 0, -3, 12), ("B", 5, "I", 1, 0, 1)]
+    )
+    moves = moves.withColumn("kind", F.when(F.col("source_id") == "I", "receipt").otherwise("sale"))
+    moves = moves.withColumn("event_time", F.when(F.col("source_id") != "S2", F.col("event_time")))
+    assert rows_of(inventory.stock_on_hand(moves), "product_id", "quantity", "sale_prices") == {
+        ("A", 17, money(12)), ("B", 0, money("1.2"))
+    }

@@ -33,24 +33,25 @@ def test_profile_counts_keys_and_heavy_ones(spark):
     rows, df = skewed(spark)
     profile = skew.profile_keys(df, "product_id", heavy_rows=200)
     hot = sum(r[0] == "HOT" for r in rows)
-    assert profile.heavy == {"HOT": hot}
-    assert profile.distinct == len({r[0] for r in rows})
+    assert (profile.rows, profile.largest) == (len(rows), hot)
+    assert rows_of(profile.heavy) == {("HOT",)}
 
 
 def test_profile_of_nothing(spark):
     profile = skew.profile_keys(movements(spark, []), "product_id")
-    assert (profile.distinct, profile.heavy) == (0, {})
+    assert (profile.rows, profile.largest, profile.heavy) == (0, 0, None)
 
 
 def test_profile_ignores_null_keys(spark):
     df = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
     profile = skew.profile_keys(df, "k", heavy_rows=1)
-    assert (profile.distinct, profile.heavy) == (1, {})
+    assert (profile.largest, profile.heavy) == (1, None)
 
 
-def test_profile_keeps_the_heaviest(spark):
-    df = spark.range(100).select(F.when(F.col("id") < 70, 1).when(F.col("id") < 90, 2).otherwise(3).alias("k"))
-    assert skew.profile_keys(df, "k", heavy_rows=5, top=2).heavy == {1: 70, 2: 20}
+def test_heavy_keys_are_bounded_by_their_share(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY_KEYS", 5)
+    df = spark.range(100).select(F.when(F.col("id") < 70, 1).when(F.col("id") < 91, 2).otherwise(3).alias("k"))
+    assert rows_of(skew.profile_keys(df, "k", heavy_rows=5).heavy) == {(1,), (2,)}
 
 
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
@@ -90,9 +91,26 @@ def test_running_sum_splits_the_heavy_key(spark, monkeypatch):
     _, df = skewed(spark)
     profile = skew.profile_keys(df, "product_id", heavy_rows=40)
     skew.running_before(df, "quantity", ORDER, profile, "before")
-    sizes = frozen[0].where("product_id = 'HOT'").groupBy("_range").count().collect()
-    assert len(sizes) > 5
-    assert max(r["count"] for r in sizes) < profile.heavy["HOT"] / 3
+    sizes = frozen[-1].groupBy("_range").count().collect()
+    assert len(sizes) > 10
+    assert max(r["count"] for r in sizes) < 4 * 40
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark, monkeypatch):
+    """Ranges follow the rows, with one shuffle partition and nothing to tell rows apart as well."""
+    frozen = []
+    freeze = skew.freeze
+    monkeypatch.setattr(skew, "freeze", lambda df: frozen.append(freeze(df)) or frozen[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        df = spark.range(2000).select(F.lit("A").alias("k"), F.lit(0).alias("o"), F.lit(1).alias("v"))
+        profile = skew.profile_keys(df, "k", heavy_rows=100)
+        out = skew.running_before(df, "v", ["o"], profile, "before")
+        assert sorted(r["before"] for r in out.collect()) == list(range(2000))
+        assert max(r["count"] for r in frozen[-1].groupBy("_range").count().collect()) < 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def guard_by_hand(rows, stock):
@@ -156,20 +174,27 @@ def test_guard_query_with_every_product_heavy(spark):
     assert differences(out, duck_rows(FOLDER, ORACLES["oversell_guard"])) == []
 
 
-def test_long_orders_become_several_documents(spark, monkeypatch):
+DOCUMENT_QUERIES = [
+    "import_items", "import_invoices", "import_rejects", "purchase_lines", "notifications", "purchase_messages",
+    "stream_import_items", "stream_import_invoices", "stream_stock", "stream_inventory", "stream_notifications",
+    "stream_sales_fact", "stream_star_reports",
+]
+
+
+@pytest.mark.parametrize("name", DOCUMENT_QUERIES)
+def test_document_size_does_not_show(spark, monkeypatch, name):
+    from storeflow import oracles
     from storeflow.plans import views
 
     monkeypatch.setattr(views, "DOCUMENT_LINES", 3)
-    r = Retail(spark, FOLDER)
-    docs = r.import_documents()
-    assert docs.where("import_id like '%-%'").count() > 0
-    assert docs.agg(F.max(F.size("items"))).first()[0] < 10
-    lines = docs.select(F.split("import_id", "-")[0].alias("id"), F.explode("items").alias("i"))
-    got = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("i.price").alias("s"))
-    want = r.received().groupBy(F.col("source_id").cast("string").alias("id")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("price").alias("s")
-    )
-    assert rows_of(got) == rows_of(want)
+    sql = oracles.purchase_messages(3) if name == "purchase_messages" else ORACLES[name]
+    assert differences(catalog.QUERIES[name](spark, FOLDER), duck_rows(FOLDER, sql)) == []
+
+
+def test_long_orders_become_several_documents(spark, monkeypatch):
+    docs = Retail(spark, FOLDER).import_documents(document_lines=3)
+    assert docs.where("first_line > 0").count() > 0
+    assert docs.agg(F.max(F.size("items"))).first()[0] == 3
 
 
 def test_an_order_of_equal_lines_is_spread(spark, tmp_path, monkeypatch):
@@ -182,7 +207,7 @@ def test_an_order_of_equal_lines_is_spread(spark, tmp_path, monkeypatch):
     spark.read.parquet(f"{FOLDER}/part.parquet").write.parquet(str(tmp_path / "part.parquet"))
     docs = Retail(spark, str(tmp_path)).import_documents()
     sizes = docs.agg(F.sum(F.size("items")), F.max(F.size("items"))).first()
-    assert sizes[0] == 1000 + lines.count() and sizes[1] < 100
+    assert sizes[0] == 1000 + lines.count() and sizes[1] <= 50
 
 
 def test_adaptive_split_of_a_skewed_join(spark):

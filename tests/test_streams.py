@@ -351,3 +351,41 @@ def test_command_line(spark, tmp_path, capsys):
     assert "total_sold" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main(["report", *store, "nothing"])
+
+
+def test_late_import_keeps_earlier_sale(spark, store):
+    """A sale may come before the import it draws on, with a snapshot in between."""
+    wh = Warehouse(store)
+    store.append(movements(spark, [("A", 5, "S1", 0, -3, 9)]), "movements", batches.SALES, 0)
+    wh.publish_stock(0, streams_stopped=True)
+    store.append(movements(spark, [("A", 0, "I1", 0, 20, 5)]), "movements", batches.IMPORTS, 0)
+    levels = spark.createDataFrame([("A", 7)], "product_id string, reorder_level int")
+    for snapshot in (1, 2):
+        wh.publish_stock(snapshot, streams_stopped=True, reorder_levels=levels)
+        newest = wh.current_inventory().drop("last_updated")
+        assert rows_of(newest) == rows_of(wh.stock(levels))
+        assert rows_of(newest, "product_id", "quantity", "reorder_level") == {("A", 17, 7)}
+
+
+@pytest.mark.parametrize("half", [False, True])
+def test_replay_after_compaction(spark, store, tmp_path, half):
+    """The newest batch of each stream runs again on the compacted store."""
+
+    def run(n, into):
+        sales = parse_purchases(
+            messages(spark, [purchase_doc(f"C{n}", [sold(f"P{n}", 1, 6), sold("A", 2, 6)], n)], start=n)
+        )
+        batches.sale_batch(sales, n, into)
+        batches.warehouse_batch(sales, n, into)
+
+    store.create()
+    for n in range(3):
+        run(n, store)
+    tables = ["movements", "rejects", "product_dim", "customer_dim", "time_dim", "sales_fact"]
+    before = {t: sorted(map(str, store.read(t).collect())) for t in tables}
+    if half:
+        store.append(store.read("sales_fact").limit(0), "sales_fact", batches.STAR, 2)
+    small = ParquetStore(spark, str(tmp_path / "small")).create()
+    store.compact_into(small)
+    run(2, small)
+    assert {t: sorted(map(str, small.read(t).collect())) for t in tables} == before
