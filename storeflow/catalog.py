@@ -162,6 +162,20 @@ def stock_roll_forward(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.named(later, r.products())
 
 
+def stock_reorder_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock rolled forward from the opening day, with reorder levels by part size."""
+    r = Retail(spark, folder)
+    levels = r.table("part").select(
+        F.col("p_partkey").alias("product_id"), (F.col("p_size") * 2).cast("int").alias("reorder_level")
+    )
+    early = F.col("event_time") < F.lit(OPENING_DAY).cast("timestamp_ntz")
+    snapshot = inventory.stock_on_hand(r.movements().where(early), LINE_ORDER)
+    later = inventory.roll_forward(
+        snapshot, r.movements().where(~early), LINE_ORDER, reorder_levels=levels
+    )
+    return inventory.named(later, r.products())
+
+
 def low_stock(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.low_stock(stock_on_hand(spark, folder))
 
@@ -199,6 +213,12 @@ def import_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rejected.select("source_id", "reason")
 
 
+def purchase_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that give no line: orders without items, and texts that are no invoice."""
+    messages = Retail(spark, folder).dirty_messages()
+    return invoices.purchase_rejects(invoices.parse_purchases(messages))
+
+
 def _purchase_lines(spark: SparkSession, folder: str) -> DataFrame:
     messages = Retail(spark, folder).purchase_messages()
     return invoices.explode_purchases(invoices.parse_purchases(messages))
@@ -292,16 +312,16 @@ def _start_imports(r: Retail, store: ParquetStore) -> list[StreamingQuery]:
     return [start_imports(stream, store, f"{base}/checkpoint", DRAIN, name=None)]
 
 
-def _purchase_feed(r: Retail) -> tuple[DataFrame, str]:
+def _purchase_feed(r: Retail, dirty: bool = False) -> tuple[DataFrame, str]:
     spark, base = r.spark, fresh_folder(r.spark, "purchase-feed")
-    messages = r.purchase_messages()
+    messages = r.dirty_messages() if dirty else r.purchase_messages()
     messages.write.parquet(f"{base}/in")
     reader = spark.readStream.schema(messages.schema)
     return reader.option("maxFilesPerTrigger", _per_batch(spark)).parquet(f"{base}/in"), base
 
 
-def _start_purchases(r: Retail, store: ParquetStore) -> list[StreamingQuery]:
-    messages, base = _purchase_feed(r)
+def _start_purchases(r: Retail, store: ParquetStore, dirty: bool = False) -> list[StreamingQuery]:
+    messages, base = _purchase_feed(r, dirty)
     return start_purchases(
         messages, store, f"{base}/checkpoint", trigger=DRAIN, names=(None, None, None)
     )
@@ -341,6 +361,20 @@ def stream_star_reports(spark: SparkSession, folder: str) -> DataFrame:
     return reports.spend_by_customer(store.read("sales_fact"), store.read("customer_dim"))
 
 
+def stream_revenue_by_minute(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue per minute, read from the facts and times the stream has loaded."""
+    store = _new_store(spark, *DIMENSIONS)
+    _drain(_start_purchases(Retail(spark, folder), store))
+    return reports.revenue_by_minute(store.read("sales_fact"), store.read("time_dim"))
+
+
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What the purchase stream puts aside of a log with empty and unreadable messages."""
+    store = _new_store(spark, *DIMENSIONS)
+    _drain(_start_purchases(Retail(spark, folder), store, dirty=True))
+    return store.read("rejects")
+
+
 def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
     """Stock after both streams have written their movements."""
     r, store = Retail(spark, folder), _new_store(spark, *DIMENSIONS)
@@ -357,6 +391,17 @@ def stream_inventory(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.current_inventory().drop("last_updated")
 
 
+def stream_inventory_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The same stock although the goods arrive after a first snapshot has covered their sales."""
+    r, store = Retail(spark, folder), _new_store(spark, *TABLES)
+    _drain(_start_purchases(r, store))
+    warehouse = Warehouse(store)
+    warehouse.publish_stock(0, streams_stopped=True)
+    _drain(_start_imports(r, store))
+    warehouse.publish_stock(1, streams_stopped=True)
+    return warehouse.current_inventory().drop("last_updated")
+
+
 def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
     messages, base = _purchase_feed(Retail(spark, folder))
     sink = {"path": f"{base}/out"}
@@ -372,11 +417,12 @@ QUERIES = {
         product_dim, customer_dim, time_dim, max_time_key, sales_fact, sales_fact_lookup,
         new_products, new_customers,
         current_inventory, current_inventory_ties, restock_from_empty, restock_merge,
-        sale_decrement, stock_on_hand, stock_roll_forward, low_stock, oversell_guard,
+        sale_decrement, stock_on_hand, stock_roll_forward, stock_reorder_levels, low_stock, oversell_guard,
         import_items, import_invoices, import_rejects, purchase_lines, notifications,
-        purchase_messages,
+        purchase_messages, purchase_rejects,
         line_amounts, invoice_totals, pk_violations, fk_orphans, null_violations,
         stream_import_items, stream_import_invoices, stream_sales_fact, stream_star_reports,
-        stream_stock, stream_inventory, stream_notifications,
+        stream_revenue_by_minute, stream_rejects,
+        stream_stock, stream_inventory, stream_inventory_late, stream_notifications,
     )
 }

@@ -216,6 +216,17 @@ FROM placed p JOIN opened o ON p.product_id = o.product_id AND p.place >= o.firs
 GROUP BY p.product_id
 """
 
+_REJECTS = """
+SELECT 'purchases-000000-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') AS source_id,
+       '{"customer_id":"' || o_custkey || '","purchased_items":[],"timestamp":"'
+         || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"}' AS payload,
+       'no items' AS reason
+FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'O')
+UNION ALL
+SELECT 'texts-000000-' || lpad(CAST(doc_id AS VARCHAR), 19, '0'), coalesce(text, '{}'), 'unreadable'
+FROM documents
+"""
+
 _RECEIVED_PRODUCTS = f"SELECT DISTINCT product_id FROM ({_RECEIVED})"
 _TILL_PRODUCTS = f"SELECT DISTINCT product_id FROM ({_TILL})"
 
@@ -284,6 +295,9 @@ ORACLES: dict[str, str] = {
              JOIN part ON p_partkey = s.product_id""",
     "stock_on_hand": _STOCK_ON_HAND,
     "stock_roll_forward": _STOCK_ON_HAND,
+    "stock_reorder_levels": f"""
+        SELECT s.* EXCLUDE (reorder_level), CAST(p_size * 2 AS INTEGER) AS reorder_level
+        FROM ({_STOCK_ON_HAND}) s JOIN part ON s.product_id = p_partkey""",
     "low_stock": f"SELECT * FROM ({_STOCK_ON_HAND}) WHERE quantity <= reorder_level",
     "oversell_guard": f"""
         SELECT product_id, source_id, line_no, event_time, quantity, price, fulfilled FROM (
@@ -302,6 +316,7 @@ ORACLES: dict[str, str] = {
     "purchase_lines": f"SELECT * EXCLUDE (source_id) FROM ({_PURCHASE_LINES})",
     "notifications": _NOTIFICATIONS,
     "purchase_messages": purchase_messages(DOCUMENT_LINES),
+    "purchase_rejects": _REJECTS,
     "line_amounts": """
         SELECT l_partkey AS product_id, l_orderkey AS import_id, l_linenumber AS line_no,
                CAST(l_quantity AS INTEGER) AS quantity,
@@ -342,7 +357,16 @@ ORACLES: dict[str, str] = {
                quantity, price AS sale_prices, total_price AS total_amount
         FROM ({_PURCHASE_LINES})""",
     "stream_star_reports": _SPEND_BY_CUSTOMER,
+    "stream_revenue_by_minute": f"""
+        SELECT CAST(year(timestamp) AS INTEGER) AS year, CAST(month(timestamp) AS INTEGER) AS month,
+               CAST(day(timestamp) AS INTEGER) AS day, CAST(hour(timestamp) AS INTEGER) AS hour,
+               CAST(minute(timestamp) AS INTEGER) AS minute,
+               CAST(SUM(total_price) AS DECIMAL(25,2)) AS total_revenue,
+               CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold
+        FROM ({_PURCHASE_LINES}) GROUP BY ALL""",
+    "stream_rejects": _REJECTS,
     "stream_stock": _STREAM_STOCK,
     "stream_inventory": _STREAM_STOCK,
+    "stream_inventory_late": _STREAM_STOCK,
     "stream_notifications": _NOTIFICATIONS,
 }

@@ -204,3 +204,32 @@ class Retail:
             F.col("customer_id").cast("binary").alias("key"),
             F.to_json(F.struct(*fields)).cast("binary").alias("value"),
         )
+
+    def dirty_messages(self) -> DataFrame:
+        """The same log as it arrives: orders of which nothing is sold come without items, and
+        texts that are no invoice stand between them (on a topic of their own, so places stay unique)."""
+        bare = (
+            self.table("orders")
+            .select(
+                F.col("o_orderkey").alias("offset"),
+                F.col("o_custkey").cast("string").alias("customer_id"),
+                F.col("o_orderdate").cast("string").alias("timestamp"),
+            )
+            .join(self.sold().select(F.col("source_id").alias("offset")), "offset", "left_anti")
+        )
+        fields = F.struct("customer_id", F.array().cast("array<string>").alias("purchased_items"), "timestamp")
+        without_items = bare.select(
+            F.lit("purchases").alias("topic"),
+            F.lit(0).alias("partition"),
+            "offset",
+            F.col("customer_id").cast("binary").alias("key"),
+            F.to_json(fields).cast("binary").alias("value"),
+        )
+        texts = self.table("documents").select(
+            F.lit("texts").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("doc_id").alias("offset"),
+            F.lit(None).cast("binary").alias("key"),
+            F.col("text").cast("binary").alias("value"),
+        )
+        return self.purchase_messages().unionByName(without_items).unionByName(texts)
