@@ -1 +1 @@
-"""Retail stream warehouse on Spark: invoices in, stock and star schema out."""
+"""Invoices in, stock and star schema out, on Spark."""

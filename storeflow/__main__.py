@@ -26,7 +26,7 @@ REPORTS = (
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
-    parser = argparse.ArgumentParser("storeflow", description="Retail stream warehouse")
+    parser = argparse.ArgumentParser("storeflow", description="Stock and sales from nested invoices")
     commands = parser.add_subparsers(dest="command", required=True)
 
     def command(name: str, streams: bool = False) -> argparse.ArgumentParser:

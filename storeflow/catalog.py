@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +20,8 @@ from storeflow.warehouse import Warehouse
 # Receipts before this day make the opening stock of the merge queries.
 OPENING_DAY = "1998-01-01"
 DRAIN = {"availableNow": True}
+# A micro-batch of a drain takes about so much, however large the feed is.
+BATCH_BYTES = 64 << 30
 DIMENSIONS = ("product_dim", "customer_dim", "time_dim")
 
 _LINE = ["product_id", "product_name", "quantity", "price"]
@@ -298,17 +298,10 @@ def null_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 # Streams: documents written as files, drained through the jobs, tables read back.
 
-def _per_batch(spark: SparkSession) -> int:
-    """Files per micro-batch, so that a drain takes about three of them."""
-    sc = spark.sparkContext
-    files = max(sc.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return ceil(files / 3)
-
-
 def _start_imports(r: Retail, store: ParquetStore) -> list[StreamingQuery]:
     spark, base = r.spark, fresh_folder(r.spark, "import-feed")
     r.import_documents().write.json(f"{base}/in")
-    stream = read_import_stream(spark, f"{base}/in", _per_batch(spark), clean="off")
+    stream = read_import_stream(spark, f"{base}/in", clean="off", max_bytes=BATCH_BYTES)
     return [start_imports(stream, store, f"{base}/checkpoint", DRAIN, name=None)]
 
 
@@ -317,7 +310,7 @@ def _purchase_feed(r: Retail, dirty: bool = False) -> tuple[DataFrame, str]:
     messages = r.dirty_messages() if dirty else r.purchase_messages()
     messages.write.parquet(f"{base}/in")
     reader = spark.readStream.schema(messages.schema)
-    return reader.option("maxFilesPerTrigger", _per_batch(spark)).parquet(f"{base}/in"), base
+    return reader.option("maxBytesPerTrigger", BATCH_BYTES).parquet(f"{base}/in"), base
 
 
 def _start_purchases(r: Retail, store: ParquetStore, dirty: bool = False) -> list[StreamingQuery]:

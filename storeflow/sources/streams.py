@@ -27,9 +27,11 @@ def read_import_stream(
     max_files: int = 1,
     clean: str = "delete",
     archive_dir: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Watch a folder for import invoices.
 
+    A batch takes ``max_files`` files or, where given, about ``max_bytes`` instead.
     ``clean`` says what happens to consumed files: ``delete``, ``archive`` (moved to
     ``archive_dir``) or ``off``.  Have one reader per folder unless it is ``off``.
     """
@@ -39,7 +41,7 @@ def read_import_stream(
         spark.readStream.format("json")
         .schema(import_schema())
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", max_files)
+        .option(*(("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)))
         .option("cleanSource", clean)
     )
     if archive_dir:
