@@ -12,6 +12,7 @@ from storeflow.llm import (
     bpe,
     jaccard_join,
     lm_scoring,
+    merkle,
     nn_descent,
     packing,
     quality_classifier,
@@ -96,6 +97,18 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    # A fifth of the documents have their text lower-cased before they are checked.
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = {"text": F.translate("text", merkle.UPPER, merkle.LOWER)}
+    tampered = merkle.leaf_hash([lower.get(f, F.col(f)) for f in merkle.FIELDS])
+    manifest = merkle.build_manifest(docs, carry={"tampered": F.when(changed, tampered)})
+    return merkle.proofs(manifest, check="tampered").select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
@@ -107,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_nn_descent": op9_nn_descent,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _URL_RULES = {
