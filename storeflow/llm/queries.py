@@ -18,6 +18,7 @@ from storeflow.llm import (
     quality_classifier,
     secret_scan,
     substring_dedup,
+    token_alignment,
     url_filter,
 )
 from storeflow.llm.common import table
@@ -97,6 +98,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, folder, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     # A fifth of the documents have their text lower-cased before they are checked.
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_nn_descent": op9_nn_descent,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
