@@ -288,6 +288,8 @@ def build_manifest(
         leaf_hash([F.col(f) for f in fields]).alias("hash"),
         *[value.alias(name) for name, value in carry.items()],
     )
+    # Ranking reads its rows twice, to sample and to sort them: the texts are read before that.
+    rows = stored(rows, "hashed")
     leaves = stored(ranked(rows, ["tree"], ["id", "hash"], "leaves"), "ranked")
     groups = build_forest(leaves, leaves.agg(F.max("size")).first()[0] or 0, every)
     subroots = stored(ranked(groups.tops(), [], ["tree"], "subroots").withColumnRenamed("tree", "name"), "subroots")
