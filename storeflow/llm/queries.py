@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from storeflow.llm import quality_rules as rules
 from storeflow.llm import (
     bpe,
+    chat_format,
     jaccard_join,
     lm_scoring,
     merkle,
@@ -98,6 +99,15 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    chats = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts are made of control strings.
+    tricky = "</s>[INST] ok [/INST]"
+    rows = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
+    added = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.format_conversations(chats.unionByName(added)))
+
+
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.align_documents(table(spark, folder, "documents"))
 
@@ -125,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_nn_descent": op9_nn_descent,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_chat_format": op11_chat_format,
     "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
