@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,9 +36,9 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 # Characters of a block of documents; a longer document is a block of its own.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 # Units a task remembers before it starts over.
-MOST_UNITS = 300_000
+MOST_UNITS = 200_000
 # Units aligned together.
 UNITS_AT_ONCE = 20_000
 # Bytes that one product of matrices covers, and products of entries it holds at a time.
@@ -138,8 +139,7 @@ def _by_stretch(a_ends: np.ndarray, b_ends: np.ndarray, product):
     return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
 
 
-@dataclass(frozen=True)
-class Unit:
+class Unit(NamedTuple):
     """What the alignment of a unit gives; ``pairs`` are its links' a << 32 | b as 64-bit numbers."""
 
     n_a: int
@@ -168,6 +168,11 @@ class Aligner:
         self.lone_space = self.pieces.piece_to_id("▁")
         # Does any piece go on with a space mark?  Then texts cannot be cut at spaces.
         self.cuts = not any(re.search("[^▁]▁", self.pieces.id_to_piece(i)) for i in range(len(self.b_bytes)))
+        # Ids in digits with what may follow them.
+        self.a_written, self.b_written = (
+            {mark: np.array([b"%d%s" % (i, mark) for i in range(n)], object) for mark in (b",", last)}
+            for n, last in ((len(self.a_lengths), b"|"), (len(self.b_bytes), b";"))
+        )
         self.known: dict[str, Unit | None] = {}
         # Units that the pieces do not give back.
         self.odd: set[str] = set()
@@ -190,42 +195,53 @@ class Aligner:
 
     def learn(self, units: list[str]) -> None:
         """Align distinct units.  Those whose pieces do not give their bytes become None."""
-        fit, a_ids, b_ids = [], [], []
-        for unit, b in zip(units, self.encode_b(units), strict=True):
-            if b"".join([self.b_bytes[i] for i in b]) == unit.encode("utf-8", "surrogatepass"):
-                fit.append(unit)
-                a_ids.append(self.encode_a(unit))
-                b_ids.append(b)
-            else:
-                self.known[unit] = None
-                self.odd.add(unit)
-        if not fit:
+        b_ids = self.encode_b(units)
+        raw = [u.encode("utf-8", "surrogatepass") for u in units]
+        b = np.fromiter(chain.from_iterable(b_ids), np.int64)
+        b_upto = np.cumsum([len(ids) for ids in b_ids])
+        same_ends = (np.cumsum(self.b_lengths[b])[b_upto - 1] == np.cumsum([len(r) for r in raw])).all()
+        if not same_ends or b"".join([self.b_bytes[i] for i in b.tolist()]) != b"".join(raw):
+            fits = [
+                b"".join([self.b_bytes[i] for i in ids]) == r for ids, r in zip(b_ids, raw, strict=True)
+            ]
+            odd = [u for u, fit in zip(units, fits, strict=True) if not fit]
+            self.known.update(dict.fromkeys(odd))
+            self.odd.update(odd)
+            rest = [u for u, fit in zip(units, fits, strict=True) if fit]
+            if rest:
+                self.learn(rest)
             return
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        a_ids = [self.encode_a(u) for u in units]
+        a, a_upto = np.fromiter(chain.from_iterable(a_ids), np.int64), np.cumsum([len(ids) for ids in a_ids])
         a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
         ends = group_ends(a_ends, b_ends)
         rows, columns, _ = overlap_links(a_ends, b_ends)
         together, _, _ = group_links(a_ends, b_ends)
         # Tokens, groups and links before each unit's end.
-        a_upto, b_upto = (np.cumsum([len(i) for i in ids]) for ids in (a_ids, b_ids))
         g_upto = np.searchsorted(ends, a_ends[a_upto - 1], "right")
         l_upto, t_upto = np.searchsorted(rows, a_upto), np.searchsorted(together, a_upto)
-        pairs = (a[rows] << 32) | b[columns]
-        a_cut, b_cut = (np.searchsorted(e, ends, "right").tolist() for e in (a_ends, b_ends))
-        a_text, b_text = ([b"%d" % i for i in ids.tolist()] for ids in (a, b))
-        texts, i, j = [], 0, 0
-        for i_to, j_to in zip(a_cut, b_cut, strict=True):
-            texts.append(b",".join(a_text[i:i_to]) + b"|" + b",".join(b_text[j:j_to]))
-            i, j = i_to, j_to
-        before = [0] * 5
-        for unit, *upto in zip(
-            fit, a_upto.tolist(), b_upto.tolist(), g_upto.tolist(), l_upto.tolist(), t_upto.tolist(), strict=True
+        pairs = ((a[rows] << 32) | b[columns]).tobytes()
+        counts = [np.diff(upto, prepend=0).tolist() for upto in (a_upto, b_upto, g_upto, l_upto, t_upto)]
+        texts = self._texts(a, b, np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends))
+        i, k = 0, 0
+        for unit, *n in zip(units, *counts, strict=True):
+            i_to, k_to = i + n[0] + n[1], k + 8 * n[3]
+            # The last mark is for another group to follow.
+            self.known[unit] = Unit(*n, b"".join(texts[i:i_to])[:-1], pairs[k:k_to])
+            i, k = i_to, k_to
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> list[bytes]:
+        """Tokens of both in the order of their groups, a's first, each with the mark that follows it."""
+        at_a = np.arange(len(a)) + np.searchsorted(b_group, a_group)
+        at_b = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
+        out = np.empty(len(a) + len(b), object)
+        for at, ids, group, mark, written in (
+            (at_a, a, a_group, b"|", self.a_written),
+            (at_b, b, b_group, b";", self.b_written),
         ):
-            counts = [x - y for x, y in zip(upto, before, strict=True)]
-            self.known[unit] = Unit(
-                *counts, b";".join(texts[before[2] : upto[2]]), pairs[before[3] : upto[3]].tobytes()
-            )
-            before = upto
+            last = np.append(group[1:] != group[:-1], True)
+            out[at] = np.where(last, written[mark][ids], written[b","][ids])
+        return out.tolist()
 
 
 def _squeezed(values: np.ndarray) -> bytes:

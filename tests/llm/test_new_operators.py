@@ -245,7 +245,7 @@ def documents(spark, texts):
     return spark.createDataFrame([(k, t, "b", 1, 2, "s", None, 3) for k, t in texts], schema).repartition(3)
 
 
-@pytest.mark.parametrize("block", [100, 8_000_000])
+@pytest.mark.parametrize("block", [100, 4_000_000])
 def test_alignment(spark, block, monkeypatch):
     monkeypatch.setattr(token_alignment, "BLOCK_CHARS", block)
     monkeypatch.setattr(token_alignment, "MOST_UNITS", 20)
