@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,20 +12,24 @@ from pyspark.sql.streaming import StreamingQuery
 from storeflow.functions.columns import with_event_time
 from storeflow.operators import audit, inventory, invoices, star
 from storeflow.plans import reports
-from storeflow.plans.lineage import fresh_folder
+from storeflow.plans.feeds import Feed
+from storeflow.plans.lineage import freeze, fresh_folder
 from storeflow.plans.views import LINE_ORDER, Retail
 from storeflow.schemas import IMPORT_INVOICE, MONEY, TABLES, empty
 from storeflow.sources.store import ParquetStore
-from storeflow.sources.streams import read_import_stream, read_imports
-from storeflow.streaming.jobs import start_imports, start_purchases, write_notifications
+from storeflow.sources.streams import read_archived_imports, read_import_stream, read_imports
+from storeflow.streaming.jobs import (
+    start_guard,
+    start_imports,
+    start_purchases,
+    start_purchases_together,
+    write_notifications,
+)
 from storeflow.warehouse import Warehouse
 
 # Receipts before this day make the opening stock of the merge queries.
 OPENING_DAY = "1998-01-01"
 DRAIN = {"availableNow": True}
-# A micro-batch of a drain takes about so much, however large the feed is.
-BATCH_BYTES = 64 << 30
-DIMENSIONS = ("product_dim", "customer_dim", "time_dim")
 
 _LINE = ["product_id", "product_name", "quantity", "price"]
 
@@ -296,110 +303,163 @@ def null_violations(spark: SparkSession, folder: str) -> DataFrame:
     return audit.null_counts(rows, ["product_id", "product_name", "last_sold"])
 
 
-# Streams: documents written as files, drained through the jobs, tables read back.
+# Streams: documents arrive as files in waves, are drained batch by batch, and the tables are read back.
 
-def _start_imports(r: Retail, store: ParquetStore) -> list[StreamingQuery]:
-    spark, base = r.spark, fresh_folder(r.spark, "import-feed")
-    r.import_documents().write.json(f"{base}/in")
-    stream = read_import_stream(spark, f"{base}/in", clean="off", max_bytes=BATCH_BYTES)
-    return [start_imports(stream, store, f"{base}/checkpoint", DRAIN, name=None)]
+def _import_feed(r: Retail) -> Feed:
+    return Feed(r.import_documents(), "json", ["delivery_hour", "import_id", "first_line"], "import-feed")
 
 
-def _purchase_feed(r: Retail, dirty: bool = False) -> tuple[DataFrame, str]:
-    spark, base = r.spark, fresh_folder(r.spark, "purchase-feed")
+def _message_feed(r: Retail, dirty: bool = False) -> Feed:
     messages = r.dirty_messages() if dirty else r.purchase_messages()
-    messages.write.parquet(f"{base}/in")
-    reader = spark.readStream.schema(messages.schema)
-    return reader.option("maxBytesPerTrigger", BATCH_BYTES).parquet(f"{base}/in"), base
+    return Feed(messages, "parquet", ["topic", "partition", "offset"], "purchase-feed")
 
 
-def _start_purchases(r: Retail, store: ParquetStore, dirty: bool = False) -> list[StreamingQuery]:
-    messages, base = _purchase_feed(r, dirty)
-    return start_purchases(
-        messages, store, f"{base}/checkpoint", trigger=DRAIN, names=(None, None, None)
+def _import_job(feed: Feed, store: ParquetStore, clean: str = "off") -> list[StreamingQuery]:
+    stream = read_import_stream(
+        store.spark, feed.inbox, clean=clean, archive_dir=feed.archive if clean == "archive" else None,
+        max_bytes=feed.batch_bytes,
     )
+    return [start_imports(stream, store, feed.checkpoint, DRAIN, name=None)]
+
+
+def _messages(feed: Feed, spark: SparkSession) -> DataFrame:
+    reader = spark.readStream.schema(feed.schema).option("maxBytesPerTrigger", feed.batch_bytes)
+    return reader.parquet(feed.inbox)
+
+
+def _purchase_job(feed: Feed, store: ParquetStore) -> list[StreamingQuery]:
+    """Stock and star schema from one reading of the log."""
+    messages = _messages(feed, store.spark)
+    return [start_purchases_together(messages, store, feed.checkpoint, trigger=DRAIN, name=None)]
+
+
+def _star_job(feed: Feed, store: ParquetStore) -> list[StreamingQuery]:
+    messages = _messages(feed, store.spark)
+    return start_purchases(messages, store, feed.checkpoint, trigger=DRAIN, names=(None, None, None))
+
+
+Job = tuple[Feed, Callable[[], list[StreamingQuery]]]
+
+
+def _drain(*jobs: Job) -> None:
+    """Wave by wave: publish, run every job on what is there, and start it again from its checkpoint."""
+    while any([feed.publish() for feed, _ in jobs]):
+        for query in [query for _, start in jobs for query in start()]:
+            query.awaitTermination()
 
 
-def _drain(queries: list[StreamingQuery]) -> None:
-    for query in queries:
-        query.awaitTermination()
+def _new_store(spark: SparkSession) -> ParquetStore:
+    return ParquetStore(spark, fresh_folder(spark, "store")).create()
 
 
-def _new_store(spark: SparkSession, *tables: str) -> ParquetStore:
-    return ParquetStore(spark, fresh_folder(spark, "store")).create(tables)
+def _imported(spark: SparkSession, folder: str, clean: str = "off") -> tuple[ParquetStore, Feed]:
+    store, feed = _new_store(spark), _import_feed(Retail(spark, folder))
+    _drain((feed, partial(_import_job, feed, store, clean)))
+    return store, feed
+
+
+def _purchased(spark: SparkSession, folder: str, job=_purchase_job, dirty: bool = False) -> ParquetStore:
+    store, feed = _new_store(spark), _message_feed(Retail(spark, folder), dirty)
+    _drain((feed, partial(job, feed, store)))
+    return store
 
 
 def stream_import_items(spark: SparkSession, folder: str) -> DataFrame:
-    store = _new_store(spark)
-    _drain(_start_imports(Retail(spark, folder), store))
+    store, _ = _imported(spark, folder)
     return store.read("import_items").select("import_id", *_LINE, "total_amount")
 
 
 def stream_import_invoices(spark: SparkSession, folder: str) -> DataFrame:
-    store = _new_store(spark)
-    _drain(_start_imports(Retail(spark, folder), store))
+    store, _ = _imported(spark, folder)
     return store.read("import_invoices").drop("timestamp_inserted")
 
 
+def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Import lines read again from what the stream has archived and what still lies in its inbox."""
+    _, feed = _imported(spark, folder, clean="archive")
+    invoices_again = read_archived_imports(spark, feed.inbox, feed.archive)
+    lines = with_event_time(invoices.explode_imports(invoices_again), "delivery_hour")
+    return lines.select("import_id", "line_no", "delivery_hour", *_LINE, "total_amount")
+
+
 def stream_sales_fact(spark: SparkSession, folder: str) -> DataFrame:
-    store = _new_store(spark, *DIMENSIONS)
-    _drain(_start_purchases(Retail(spark, folder), store))
-    return store.read("sales_fact").drop("sale_id")
+    return _purchased(spark, folder, _star_job).read("sales_fact").drop("sale_id")
 
 
 def stream_star_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Spend per customer, read from the facts and dimension the stream has loaded."""
-    store = _new_store(spark, *DIMENSIONS)
-    _drain(_start_purchases(Retail(spark, folder), store))
+    store = _purchased(spark, folder)
     return reports.spend_by_customer(store.read("sales_fact"), store.read("customer_dim"))
 
 
 def stream_revenue_by_minute(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per minute, read from the facts and times the stream has loaded."""
-    store = _new_store(spark, *DIMENSIONS)
-    _drain(_start_purchases(Retail(spark, folder), store))
+    store = _purchased(spark, folder)
     return reports.revenue_by_minute(store.read("sales_fact"), store.read("time_dim"))
 
 
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """What the purchase stream puts aside of a log with empty and unreadable messages."""
-    store = _new_store(spark, *DIMENSIONS)
-    _drain(_start_purchases(Retail(spark, folder), store, dirty=True))
-    return store.read("rejects")
+    return _purchased(spark, folder, dirty=True).read("rejects")
+
+
+def _both(spark: SparkSession, folder: str) -> ParquetStore:
+    r, store = Retail(spark, folder), _new_store(spark)
+    goods, sales = _import_feed(r), _message_feed(r)
+    _drain((goods, partial(_import_job, goods, store)), (sales, partial(_purchase_job, sales, store)))
+    return store
 
 
 def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
     """Stock after both streams have written their movements."""
-    r, store = Retail(spark, folder), _new_store(spark, *DIMENSIONS)
-    _drain(_start_imports(r, store) + _start_purchases(r, store))
-    return inventory.stock_on_hand(store.read("movements"))
+    return inventory.stock_on_hand(_both(spark, folder).read("movements"))
 
 
 def stream_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """The same stock, read from the inventory log after a snapshot was published."""
-    r, store = Retail(spark, folder), _new_store(spark, *TABLES)
-    _drain(_start_imports(r, store) + _start_purchases(r, store))
-    warehouse = Warehouse(store)
+    warehouse = Warehouse(_both(spark, folder))
     warehouse.publish_stock(0, streams_stopped=True)
     return warehouse.current_inventory().drop("last_updated")
 
 
 def stream_inventory_late(spark: SparkSession, folder: str) -> DataFrame:
-    """The same stock although the goods arrive after a first snapshot has covered their sales."""
-    r, store = Retail(spark, folder), _new_store(spark, *TABLES)
-    _drain(_start_purchases(r, store))
-    warehouse = Warehouse(store)
+    """The same stock although snapshots come before the goods, and between their waves."""
+    r, store = Retail(spark, folder), _new_store(spark)
+    warehouse, sales, goods = Warehouse(store), _message_feed(r), _import_feed(r)
+    _drain((sales, partial(_purchase_job, sales, store)))
     warehouse.publish_stock(0, streams_stopped=True)
-    _drain(_start_imports(r, store))
-    warehouse.publish_stock(1, streams_stopped=True)
+    # The wave with the later deliveries first: products are then opened again from their history.
+    goods.newest_first()
+    snapshot = 0
+    while goods.publish():
+        for query in _import_job(goods, store):
+            query.awaitTermination()
+        snapshot += 1
+        warehouse.publish_stock(snapshot, streams_stopped=True)
     return warehouse.current_inventory().drop("last_updated")
 
 
+def stream_oversell(spark: SparkSession, folder: str) -> DataFrame:
+    """Sold lines granted from the opening stock in the order of the log, batch after batch."""
+    r, store = Retail(spark, folder), _new_store(spark)
+    stock = freeze(_opening_stock(r).select(F.col("product_id").cast("string").alias("product_id"), "quantity"))
+    feed = _message_feed(r)
+    _drain((feed, lambda: [start_guard(_messages(feed, spark), store, stock, feed.checkpoint, DRAIN, name=None)]))
+    return store.read("accepted_lines")
+
+
 def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
-    messages, base = _purchase_feed(Retail(spark, folder))
-    sink = {"path": f"{base}/out"}
-    _drain([write_notifications(messages, f"{base}/checkpoint", "parquet", sink, DRAIN, name=None)])
-    return spark.read.schema("value string").parquet(f"{base}/out")
+    feed = _message_feed(Retail(spark, folder))
+    sink = {"path": feed.out}
+    _drain(
+        (
+            feed,
+            lambda: [
+                write_notifications(_messages(feed, spark), feed.checkpoint, "parquet", sink, DRAIN, name=None)
+            ],
+        )
+    )
+    return spark.read.schema("value string").parquet(feed.out)
 
 
 QUERIES = {
@@ -417,5 +477,6 @@ QUERIES = {
         stream_import_items, stream_import_invoices, stream_sales_fact, stream_star_reports,
         stream_revenue_by_minute, stream_rejects,
         stream_stock, stream_inventory, stream_inventory_late, stream_notifications,
+        stream_oversell, stream_archive,
     )
 }

@@ -171,18 +171,35 @@ def _is_receipt(movements: DataFrame) -> Column:
     return F.col("kind") == RECEIPT if "kind" in movements.columns else F.col("quantity") > 0
 
 
+def opening_order(order_by: list[str] = MOVEMENT_ORDER) -> list[str]:
+    """Fields of an ``opening``: the place of a product's first receipt, those without a time last."""
+    return ["untimed", *order_by]
+
+
+def _place(order_by: list[str], *more: Column) -> Column:
+    return F.struct(F.isnull(order_by[0]).alias("untimed"), *order_by, *more)
+
+
+def _counts(order_by: list[str]) -> Column:
+    """A sale counts from the product's ``opening`` on, or if it carries no time."""
+    opened = F.struct(*[F.col(f"opening.{c}").alias(c) for c in order_by])
+    return F.isnull(order_by[0]) | (F.struct(*order_by) >= opened)
+
+
 def stock_on_hand(
     movements: DataFrame,
     order_by: list[str] = MOVEMENT_ORDER,
     reorder_levels: DataFrame | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    with_opening: bool = False,
 ) -> DataFrame:
     """Stock per product from signed movements.
 
     A product exists from its first receipt; that receipt fixes name and price, and
     sales before it do not count.  Sales without a readable time count as after it, receipts without
     one come last.  ``reorder_levels`` (product_id, reorder_level)
-    overrides the default level.
+    overrides the default level.  ``with_opening`` adds the place of the first receipt, which
+    :func:`roll_forward` needs.
 
     Receipts are folded without a join and kept, one row per product: they are both
     the lookup that says which sales count and one side of the result.
@@ -192,15 +209,16 @@ def stock_on_hand(
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("received"),
-            F.min(F.struct(F.isnull(order_by[0]).alias("untimed"), *order_by, _first_price(), _name_of(movements))).alias("first"),
+            F.min(_place(order_by, _first_price(), _name_of(movements))).alias("first"),
         )
     )
-    opening = incoming.select("product_id", F.struct(*[f"first.{c}" for c in order_by]).alias("opened"))
+    opening = F.struct(*[F.col(f"first.{c}").alias(c) for c in opening_order(order_by)]).alias("opening")
     columns = dict.fromkeys(["product_id", *order_by, "quantity"])
     outgoing = movements.where(~_is_receipt(movements)).select(*columns)
+    opened = incoming.select("product_id", opening)
     sold = (
-        lookup_join(outgoing, opening, "product_id", incoming.count(), heavy_rows=heavy_rows)
-        .where(F.isnull(order_by[0]) | (F.struct(*order_by) >= F.col("opened")))
+        lookup_join(outgoing, opened, "product_id", incoming.count(), heavy_rows=heavy_rows)
+        .where(_counts(order_by))
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("sold"))
     )
@@ -215,6 +233,7 @@ def stock_on_hand(
         (F.col("received") + F.coalesce("sold", F.lit(0))).alias("quantity"),
         sale_price("first.first_price").alias("sale_prices"),
         level.cast("int").alias("reorder_level"),
+        *([opening] if with_opening else []),
     )
 
 
@@ -224,18 +243,45 @@ def roll_forward(
     order_by: list[str] = MOVEMENT_ORDER,
     history: DataFrame | None = None,
     reorder_levels: DataFrame | None = None,
+    openings: DataFrame | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Stock after ``inventory`` and the movements that followed it.
 
-    Products in the snapshot keep name and price and take every movement; ``reorder_levels``
-    overrides their level.  Others follow :func:`stock_on_hand` over what ``history`` (all
-    movements up to now, the new ones included) holds of just those products, so a sale that
-    came before its product's import is not lost.  Without products new to the snapshot the join
-    below finds nothing to look for.
+    Products in the snapshot keep name and price; ``reorder_levels`` overrides their level.  Others follow
+    :func:`stock_on_hand` over what ``history`` (all movements up to now, the new ones included)
+    holds of just those products, so a sale that came before its product's import is not lost.  Without
+    products new to the snapshot the join below finds nothing to look for.
+
+    With ``openings`` (product_id, opening), as the snapshot's products were opened, the result is what
+    :func:`stock_on_hand` gives over all movements, in whatever order they arrived: a sale dated before its
+    product's opening is left out, and a receipt dated before it reopens that product from ``history``.  The result
+    then has an ``opening`` column.  Without them a known product takes every movement.
     """
     known = inventory.select(*STOCK_COLUMNS)
-    moved = movements.groupBy("product_id").agg(F.sum("quantity").alias("units"))
-    carried = known.join(moved, "product_id", "left").withColumn(
+    received = movements.where(_is_receipt(movements))
+    firsts = received.groupBy("product_id").agg(F.min(_place(order_by)).alias("_first"))
+    columns = [*STOCK_COLUMNS]
+    if openings is None:
+        taken = movements
+        fresh = firsts.join(known.select("product_id"), "product_id", "left_anti").select("product_id")
+    else:
+        known = known.join(openings, "product_id", "left")
+        columns.append("opening")
+        # New to the snapshot, or received earlier than the snapshot knew.
+        stocked = known.select("product_id", "opening", F.lit(True).alias("_known"))
+        late = F.col("_known").isNull() | (F.col("_first") < F.col("opening"))
+        fresh = firsts.join(stocked, "product_id", "left").where(late).select("product_id")
+        needed = dict.fromkeys(["product_id", *order_by, "quantity"])
+        sales = movements.where(~_is_receipt(movements)).select(*needed)
+        # A snapshot's products without an opening take all their sales.
+        counted = lookup_join(sales, known.select("product_id", "opening"), "product_id", heavy_rows=heavy_rows)
+        counted = counted.where(F.isnull("opening") | _counts(order_by))
+        taken = received.select("product_id", "quantity").unionByName(counted.select("product_id", "quantity"))
+    fresh = freeze(fresh.distinct())
+    moved = taken.groupBy("product_id").agg(F.sum("quantity").alias("units"))
+    carried = known.join(fresh, "product_id", "left_anti") if openings is not None else known
+    carried = carried.join(moved, "product_id", "left").withColumn(
         "quantity", F.col("quantity") + F.coalesce("units", F.lit(0))
     )
     if reorder_levels is not None:
@@ -243,11 +289,9 @@ def roll_forward(
         carried = carried.join(levels, "product_id", "left").withColumn(
             "reorder_level", F.coalesce("_level", "reorder_level").cast("int")
         )
-    fresh = movements.where(_is_receipt(movements)).select("product_id").distinct()
-    fresh = freeze(fresh.join(known.select("product_id"), "product_id", "left_anti"))
     of_fresh = (movements if history is None else history).join(fresh, "product_id", "left_semi")
-    opened = stock_on_hand(of_fresh, order_by, reorder_levels)
-    return carried.select(*STOCK_COLUMNS).unionByName(opened.select(*STOCK_COLUMNS))
+    opened = stock_on_hand(of_fresh, order_by, reorder_levels, heavy_rows, with_opening=openings is not None)
+    return carried.select(*columns).unionByName(opened.select(*columns))
 
 
 def low_stock(stock: DataFrame) -> DataFrame:
@@ -261,12 +305,19 @@ def oversell_guard(
     order_by: list[str],
     profile: KeyProfile | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    reserved: DataFrame | None = None,
 ) -> DataFrame:
     """First come, first served against a stock snapshot of one row per product.
 
     Each request gets ``fulfilled`` = what it asked for or what is left; requests
-    that get nothing, or ask for products not in stock, are dropped.
+    that get nothing, or ask for products not in stock, are dropped.  ``reserved`` (product_id, reserved),
+    one row per product, is what earlier requests have been granted of that stock.
     """
+    if reserved is not None:
+        taken = reserved.select("product_id", F.col("reserved").alias("_reserved"))
+        stock = stock.join(taken, "product_id", "left").withColumn(
+            "quantity", F.col("quantity") - F.coalesce("_reserved", F.lit(0))
+        )
     asked = requests.where("quantity > 0")
     profile = profile or profile_keys(asked, "product_id", heavy_rows)
     available = stock.where("quantity > 0").select("product_id", F.col("quantity").alias("available"))

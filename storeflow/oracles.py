@@ -369,4 +369,16 @@ ORACLES: dict[str, str] = {
     "stream_inventory": _STREAM_STOCK,
     "stream_inventory_late": _STREAM_STOCK,
     "stream_notifications": _NOTIFICATIONS,
+    "stream_archive": f"SELECT * EXCLUDE (total_invoice_amount) FROM ({_IMPORT_LINES})",
+    "stream_oversell": f"""
+        SELECT source_id, line_no, customer_id, product_id, quantity, fulfilled FROM (
+          SELECT 'purchases-' || lpad(CAST(r.line_no // {DOCUMENT_LINES} AS VARCHAR), 6, '0') || '-'
+                   || lpad(CAST(r.source_id AS VARCHAR), 19, '0') AS source_id,
+                 r.line_no, r.customer_id, r.product_id, r.quantity,
+                 CAST(LEAST(r.quantity, GREATEST(0, s.quantity - COALESCE(
+                   SUM(r.quantity) OVER (PARTITION BY r.product_id
+                     ORDER BY r.line_no // {DOCUMENT_LINES}, r.source_id, r.line_no
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS fulfilled
+          FROM ({_PURCHASE_LINES}) r JOIN ({_OPENING_STOCK}) s ON r.product_id = CAST(s.product_id AS VARCHAR))
+        WHERE fulfilled > 0""",
 }

@@ -69,6 +69,17 @@ TABLES: dict[str, T.StructType] = {
         product_id=_STR, customer_id=_STR, time_id=_LONG, sale_id=_LONG,
         quantity=_INT, sale_prices=MONEY, total_amount=MONEY,
     ),
+    # Of the products of a snapshot: where their first receipt stands among movements.
+    "openings": _struct(
+        product_id=_STR, untimed=T.BooleanType(), event_time=_TS, source_id=_STR, line_no=_INT
+    ),
+    # Requests the guard has granted, and how much of each product each batch of them took.
+    "accepted_lines": _struct(
+        source_id=_STR, line_no=_INT, customer_id=_STR, product_id=_STR, quantity=_INT, fulfilled=_LONG
+    ),
+    "reservations": _struct(product_id=_STR, reserved=_LONG),
+    # Reservations of all batches up to one, added up.
+    "reservation_totals": _struct(product_id=_STR, reserved=_LONG),
     # Which batches of each stream a published stock snapshot covers.
     "snapshot_marks": _struct(stream=_STR, last_batch=_LONG),
     "rejects": _struct(source_id=_STR, payload=_STR, reason=_STR),
@@ -83,6 +94,7 @@ PRIMARY_KEYS: dict[str, list[str]] = {
     "customer_dim": ["customer_id"],
     "time_dim": ["id"],
     "sales_fact": ["product_id", "customer_id", "time_id", "sale_id"],
+    "accepted_lines": ["source_id", "line_no"],
 }
 
 # (child table, child column, parent table, parent column)

@@ -1,50 +1,94 @@
 """Table stores.
 
-``append(df, table, source, batch_id)`` adds one micro-batch of one stream to a
-table, ``read(table)`` returns the table.  Appending the same batch again leaves
-the table as it is.
+``batch(source, batch_id)`` opens one micro-batch of one stream; what is appended to it, to however many tables, becomes
+visible together when it closes.  ``append(df, table, source, batch_id)`` is a batch of one table, ``read(table)`` returns
+a table.  Writing the same batch again leaves the tables as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Lock
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storeflow.schemas import SERIAL_COLUMNS, TABLES, empty
+from storeflow.sources.commits import CommitLog, Part
+from storeflow.sources.files import Files
+from storeflow.sources.reservations import TOTALS, newest_total
 
 # Source of rows that stock snapshots write.
 SNAPSHOTS = "snapshots"
+# Copies that compaction runs at a time.
+COPIES = 8
 
 _BATCH = [T.StructField("source", T.StringType()), T.StructField("batch_id", T.LongType())]
 
 
+class Batch:
+    """One micro-batch being written.  ``append`` may be called from several threads."""
+
+    def __init__(self, store: ParquetStore, source: str, batch_id: int):
+        self.store, self.source, self.batch_id = store, source, batch_id
+        self._parts: dict[str, Part] = {}
+        self._lock = Lock()
+
+    def append(self, df: DataFrame, table: str) -> DataFrame:
+        """Write into a folder of this attempt's own, in as few files as the size allows.
+
+        Returns what was written, read back.
+        """
+        path = f"{table}/source={self.source}/batch_id={self.batch_id}/a-{uuid.uuid4().hex}"
+        seen = Observation()
+        # Counted where files are written, so a repeated stage before that counts once.
+        rows = df.select(*TABLES[table].fieldNames()).hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.write.parquet(f"{self.store.root}/{path}")
+        part = Part(self.source, self.batch_id, table, path, seen.get.get("rows", 0))
+        with self._lock:
+            self._parts[table] = part
+        return self.store.rows_of([part], table).drop("source", "batch_id")
+
+    def commit(self) -> None:
+        """Tables this attempt has not written keep what an earlier one of the same batch wrote."""
+        kept = {p.table: p for p in self.store.log.of(self.source, self.batch_id)}
+        self.store.log.commit(self.source, self.batch_id, list((kept | self._parts).values()))
+
+
 class ParquetStore:
-    """Tables as Parquet below one folder, a partition per stream and batch.
+    """Tables as Parquet below one folder, a folder per stream, batch and attempt.
 
-    A batch owns its partition, so a replay replaces exactly what the first attempt
-    wrote, also when it has become empty.
+    Only folders named by the log of finished batches are read.  A batch that fails halfway is not there for any table,
+    and one that runs again replaces exactly what it wrote, also when it has become empty.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/_commits")
 
-    def create(self, tables: Iterable[str] = TABLES) -> "ParquetStore":
-        """Set up tables without rows; those that exist stay as they are."""
-        for table in tables:
-            target = f"{self.root}/{table}/source=none/batch_id=-1"
-            empty(self.spark, TABLES[table]).write.mode("ignore").parquet(target)
+    def create(self, tables: Iterable[str] = TABLES) -> ParquetStore:
+        """Set up the folders; tables without batches are empty tables anyway."""
+        files = Files(self.spark)
+        for folder in ("_commits", *tables):
+            files.make_folder(f"{self.root}/{folder}")
         return self
 
+    @contextmanager
+    def batch(self, source: str, batch_id: int) -> Iterator[Batch]:
+        """A batch over several tables; an exception leaves nothing of it behind that anyone reads."""
+        writing = Batch(self, source, batch_id)
+        yield writing
+        writing.commit()
+
     def append(self, df: DataFrame, table: str, source: str, batch_id: int) -> None:
-        """Write one batch into its partition, in as few files as its size allows."""
-        rows = df.select(*TABLES[table].fieldNames()).hint("rebalance")
-        target = f"{self.root}/{table}/source={source}/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(target)
+        with self.batch(source, batch_id) as writing:
+            writing.append(df, table)
 
     def read(self, table: str, before_batch: int | None = None) -> DataFrame:
         """The table; ``before_batch`` leaves out that batch and later ones."""
@@ -52,61 +96,107 @@ class ParquetStore:
 
     def batches(self, table: str, before_batch: int | None = None) -> DataFrame:
         """The table with the ``source`` and ``batch_id`` each row came with."""
+        parts = self.parts(table)
+        if before_batch is None:
+            return self.rows_of(parts, table)
+        rows = self.rows_of([p for p in parts if p.batch_id < before_batch], table)
+        return rows.where(F.col("batch_id") < before_batch)
+
+    def parts(self, table: str) -> list[Part]:
+        """What finished batches hold of the table.  Reads the log, no data."""
+        return [p for p in self.log.parts() if p.table == table]
+
+    def rows_of(self, parts: list[Part], table: str) -> DataFrame:
+        """The rows of some batches."""
         schema = T.StructType([*TABLES[table].fields, *_BATCH])
-        try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = empty(self.spark, schema)
-        if before_batch is not None:
-            rows = rows.where(F.col("batch_id") < before_batch)
-        return rows
+        paths = [f"{self.root}/{p.path}" for p in parts]
+        if not paths:
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths)
+
+    def snapshot_parts(self, table: str, snapshot_id: int) -> list[Part]:
+        return [p for p in self.parts(table) if (p.source, p.batch_id) == (SNAPSHOTS, snapshot_id)]
 
     def last_snapshot(self, before: int | None = None) -> tuple[int | None, dict[str, int]]:
         """Number of the newest stock snapshot, and the last batch it covers per stream."""
-        marks = self.batches("snapshot_marks", before_batch=before)
-        last = marks.agg(F.max("batch_id")).first()[0]
-        if last is None:
+        marks = [p for p in self.parts("snapshot_marks") if before is None or p.batch_id < before]
+        if not marks:
             return None, {}
-        rows = marks.where(F.col("batch_id") == last).collect()
-        return last, {r["stream"]: r["last_batch"] for r in rows}
+        newest = max(marks, key=lambda p: p.batch_id)
+        rows = self.rows_of([newest], "snapshot_marks").collect()
+        return newest.batch_id, {r["stream"]: r["last_batch"] for r in rows}
 
     def newest_batches(self, table: str) -> dict[str, int]:
-        """Newest batch per stream that has written to the table."""
-        rows = self.batches(table).where("source <> 'none'")
-        newest = rows.groupBy("source").agg(F.max("batch_id").alias("newest")).collect()
-        return {r["source"]: r["newest"] for r in newest}
+        """Newest batch per stream that has written to the table, from the log alone."""
+        newest: dict[str, int] = {}
+        for p in self.parts(table):
+            newest[p.source] = max(p.batch_id, newest.get(p.source, p.batch_id))
+        return newest
 
-    def compact_into(self, other: "ParquetStore", tables: Iterable[str] = TABLES) -> None:
+    def compact_into(self, other: ParquetStore, tables: Iterable[str] = TABLES) -> None:
         """Copy the tables into another root, the batches of a stream put together.
 
         Run it while no stream writes, then restart the streams on the new root with
         their old checkpoints; the newest batch of each may then run again.  Batches the newest stock snapshot covers stay apart
-        from later ones, and snapshots from each other.
+        from later ones, and snapshots from each other.  Each stretch of batches becomes one batch of the
+        new root, for all tables at once.
         """
         _, covered = self.last_snapshot()
-        # The newest batch of a stream, over all its tables, may be replayed and keeps a partition of its own.
-        by_table = {table: self.newest_batches(table) for table in TABLES}
-        last_batch: dict[str, int] = {}
-        for newest in by_table.values():
-            for stream, batch in newest.items():
-                last_batch[stream] = max(batch, last_batch.get(stream, batch))
-        for table in tables:
-            rows = self.batches(table)
-            for stream, newest in by_table[table].items():
-                mine = rows.where(F.col("source") == stream)
-                if stream == SNAPSHOTS:
-                    ids = sorted(r[0] for r in mine.select("batch_id").distinct().collect())
-                    spans = [(i, i) for i in ids]
-                else:
-                    done = min(newest, last_batch[stream] - 1)
-                    mark = min(covered.get(stream, -1), done)
-                    cuts = ((0, mark), (mark + 1, done), (done + 1, newest))
-                    spans = [s for s in cuts if s[0] <= s[1]]
-                for first, last in spans:
-                    part = mine.where(F.col("batch_id").between(first, last))
-                    other.append(part, table, stream, last)
+        for stream, newest in self.newest_batches("reservations").items():
+            covered[stream] = newest_total(self.parts("reservation_totals"), stream, newest)
+        wanted = set(tables)
+        by_stream: dict[str, list[Part]] = {}
+        for part in self.log.parts():
+            by_stream.setdefault(part.source, []).append(part)
+        stretches = []
+        for stream, parts in by_stream.items():
+            ids = sorted({p.batch_id for p in parts})
+            if stream == SNAPSHOTS:
+                spans = [(i, i) for i in ids]
+            elif stream.startswith(TOTALS):
+                # One sum is enough, and it must not reach into the batches that are put together after it.
+                spans = [(i, i) for i in ids if i == covered.get(stream.removeprefix(TOTALS))]
+            else:
+                # The newest batch of a stream may be replayed and stays a batch of its own.
+                done = ids[-1] - 1
+                mark = min(covered.get(stream, -1), done)
+                spans = [(0, mark), (mark + 1, done), (ids[-1], ids[-1])]
+            for first, last in spans:
+                inside = [p for p in parts if first <= p.batch_id <= last and p.table in wanted]
+                if inside:
+                    stretches.append((stream, last, inside))
+
+        def copy(stream: str, last: int, inside: list[Part]) -> None:
+            with other.batch(stream, last) as writing:
+                for table in sorted({p.table for p in inside}):
+                    rows = self.rows_of([p for p in inside if p.table == table], table)
+                    writing.append(rows.drop(*[f.name for f in _BATCH]), table)
+
+        run_together(self.spark, COPIES, *[(copy, *stretch) for stretch in stretches])
+
+    def leftovers(self) -> list[str]:
+        """Folders of attempts that no finished batch names: what failed or replaced attempts wrote.
+
+        Some may be in writing, so remove them only while no stream runs; see :meth:`remove_leftovers`.
+        """
+        named = {f"{self.root}/{p.path}".rstrip("/").split("/")[-1] for p in self.log.parts()}
+        found = Files(self.spark).listed(f"{self.root}/*/source=*/batch_id=*/a-*", folders=True)
+        return [f.path for f in found if f.name not in named]
+
+    def remove_leftovers(self) -> int:
+        """Delete what :meth:`leftovers` lists, and say how many folders.  Run it while no stream writes."""
+        files, found = Files(self.spark), self.leftovers()
+        for path in found:
+            files.remove_folder(path)
+        return len(found)
+
+
+def run_together(spark: SparkSession, at_once: int, *calls: tuple) -> None:
+    """Run (function, arguments...) as concurrent jobs and raise what the first failing one raised."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max(1, min(at_once, len(calls)))) as pool:
+        for done in [pool.submit(inherit(call), *args) for call, *args in calls]:
+            done.result()
 
 
 class JdbcStore:

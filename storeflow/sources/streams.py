@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from storeflow.schemas import CORRUPT, IMPORT_INVOICE
+from storeflow.schemas import CORRUPT, IMPORT_INVOICE, empty
+from storeflow.sources.files import Files
 
 # Reading defaults of the purchase topic: only new messages, and go on after a gap.
 _TOPIC_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
@@ -21,6 +22,25 @@ def read_imports(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(import_schema()).json(path, columnNameOfCorruptRecord=CORRUPT)
 
 
+def read_archived_imports(spark: SparkSession, inbox: str, archive: str) -> DataFrame:
+    """All import invoices a stream with ``clean="archive"`` has or will have read, each file once.
+
+    The archive keeps files below their whole old path.  The inbox is listed first: a file that is moved
+    in between is found in both places and read from the archive.
+    """
+    files = Files(spark)
+    live = files.below(inbox)
+    moved = files.below(archive)
+    # Ends with the folder the stream watches, then the file.
+    watched = files.plain(inbox)
+    archived = {f"/{f.path.split(watched.rstrip('/') + '/', 1)[1]}" for f in moved if watched in f.path}
+    left = [f.path for f in live if f"/{f.path.split(watched.rstrip('/') + '/', 1)[1]}" not in archived]
+    paths = left + [f.path for f in moved]
+    if not paths:
+        return empty(spark, import_schema())
+    return spark.read.schema(import_schema()).json(paths, columnNameOfCorruptRecord=CORRUPT)
+
+
 def read_import_stream(
     spark: SparkSession,
     path: str,

@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from storeflow.operators.invoices import explode_purchases, notifications, parse_purchases
-from storeflow.streaming.batches import import_batch, sale_batch, warehouse_batch
+from storeflow.streaming.batches import (
+    guard_batch,
+    import_batch,
+    purchase_batch,
+    sale_batch,
+    warehouse_batch,
+)
 
 # Every how long the import job looks for files.
 IMPORT_TRIGGER = {"processingTime": "30 seconds"}
@@ -79,6 +85,45 @@ def start_purchases(
     return queries
 
 
+def _write_notices(records: DataFrame, batch_id: int, sink: str, options: dict[str, str]) -> None:
+    """A batch's notices: files go below ``path``, a folder per batch, and replace an earlier attempt's."""
+    if "path" in options:
+        options = options | {"path": f"{options['path'].rstrip('/')}/batch_id={batch_id}"}
+    mode = "overwrite" if "path" in options else "append"
+    records.write.format(sink).options(**options).mode(mode).save()
+
+
+def start_purchases_together(
+    messages: DataFrame,
+    store,
+    checkpoint: str,
+    notify: tuple[str, dict[str, str]] | None = None,
+    trigger: dict | None = None,
+    name: str | None = "purchases",
+) -> StreamingQuery:
+    """Feed purchases to stock, star schema and notices from one reading of the source.
+
+    Where :func:`start_purchases` reads and parses the log once per output, so that each goes at its own pace, here each
+    message is parsed once; every output still has its own commit mark.  Needs a store that keeps such marks.
+    """
+    write = partial(_write_notices, sink=notify[0], options=notify[1]) if notify else None
+    writer = _prepared(messages, name, f"{checkpoint.rstrip('/')}/purchases", trigger)
+    return writer.foreachBatch(partial(purchase_batch, store=store, notify=write)).start()
+
+
+def start_guard(
+    messages: DataFrame,
+    store,
+    stock: DataFrame,
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = "guard",
+) -> StreamingQuery:
+    """Grant purchase requests from ``stock`` (product_id, quantity) as they come; see ``guard_batch``."""
+    writer = _prepared(parse_purchases(messages), name, f"{checkpoint.rstrip('/')}/guard", trigger)
+    return writer.foreachBatch(partial(guard_batch, store=store, stock=stock)).start()
+
+
 def await_any(spark: SparkSession) -> None:
     """Block until one query ends, and raise if it failed."""
     spark.streams.awaitAnyTermination()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storeflow.functions.columns import stamped
 from storeflow.operators import audit, inventory
 from storeflow.plans import reports
+from storeflow.plans.lineage import freeze
 from storeflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES
 from storeflow.sources.store import SNAPSHOTS
 
@@ -41,33 +42,50 @@ class Warehouse:
         Starts from the last snapshot and adds the batches that came since; of the history it
         reads no more than the movements of products new to the snapshot.  The newest batch of each stream may still be
         in writing and waits for the next snapshot, unless the streams have stopped.
-        A snapshot is not reopened: later batches add to it, whatever time they carry.
+        The result equals :meth:`stock` over the same batches, in whatever order movements arrive: openings of
+        products are published with the stock, and a receipt dated before one reopens just that product.
         Needs a :class:`~storeflow.sources.store.ParquetStore`, whose rows know their batch.
         """
-        last, covered = self.store.last_snapshot(before=snapshot_id)
+        store = self.store
+        last, covered = store.last_snapshot(before=snapshot_id)
         wait = 0 if streams_stopped else 1
-        newest = self.store.newest_batches("movements")
+        moves = store.parts("movements")
+        newest = store.newest_batches("movements")
         upto = covered | {stream: batch - wait for stream, batch in newest.items()}
-        fresh = seen = F.lit(False)
-        for stream, batch in upto.items():
-            since = covered.get(stream, -1)
-            fresh |= (F.col("source") == stream) & F.col("batch_id").between(since + 1, batch)
-            seen |= (F.col("source") == stream) & (F.col("batch_id") <= batch)
-        moves = self.store.batches("movements")
-        tail, history = (moves.where(part).drop("source", "batch_id") for part in (fresh, seen))
+        seen = [p for p in moves if p.rows and p.batch_id <= upto[p.source]]
+        history = store.rows_of(seen, "movements").drop("source", "batch_id")
         if last is None:
-            stock = inventory.stock_on_hand(tail, reorder_levels=reorder_levels)
+            stock = inventory.stock_on_hand(history, reorder_levels=reorder_levels, with_opening=True)
         else:
-            before = self.store.batches("inventory").where(F.col("batch_id") == last)
-            stock = inventory.roll_forward(before, tail, history=history, reorder_levels=reorder_levels)
-        self.store.append(stamped(stock, "last_updated"), "inventory", SNAPSHOTS, snapshot_id)
-        # The marks come last: a snapshot without them is not built upon.
+            fresh = [p for p in seen if p.batch_id > covered.get(p.source, -1)]
+            tail = store.rows_of(fresh, "movements").drop("source", "batch_id")
+            before = store.rows_of(store.snapshot_parts("inventory", last), "inventory")
+            opened = store.rows_of(store.snapshot_parts("openings", last), "openings")
+            opened = opened.select("product_id", F.struct(*inventory.opening_order()).alias("opening"))
+            stock = inventory.roll_forward(
+                before, tail, history=history, reorder_levels=reorder_levels, openings=opened
+            )
+        stock = freeze(stock)
         marks = stock.sparkSession.createDataFrame(list(upto.items()), TABLES["snapshot_marks"])
-        self.store.append(marks, "snapshot_marks", SNAPSHOTS, snapshot_id)
+        with store.batch(SNAPSHOTS, snapshot_id) as writing:
+            writing.append(stamped(stock, "last_updated"), "inventory")
+            writing.append(stock.select("product_id", "opening.*"), "openings")
+            writing.append(marks, "snapshot_marks")
 
     def current_inventory(self, ties: str = "keep") -> DataFrame:
-        """Newest row per product of the inventory log."""
-        return inventory.current_inventory(self.table("inventory"), ties)
+        """Newest row per product of the inventory log.
+
+        A snapshot holds every product, so of those just the newest is read.
+        """
+        return inventory.current_inventory(self._newest_inventory(), ties)
+
+    def _newest_inventory(self) -> DataFrame:
+        store = self.store
+        if not hasattr(store, "parts"):
+            return self.table("inventory")
+        last, _ = store.last_snapshot()
+        parts = [p for p in store.parts("inventory") if p.source != SNAPSHOTS or p.batch_id == last]
+        return store.rows_of(parts, "inventory").drop("source", "batch_id")
 
     def revenue_by_minute(self) -> DataFrame:
         return reports.revenue_by_minute(self.table("sales_fact"), self.table("time_dim"))
