@@ -152,8 +152,9 @@ def encode_documents(
     deal = partitions(docs.sparkSession)
     columns = ["doc_id", "n_tokens", *(field.split()[0] for field in result_schema.split(","))]
 
-    def words_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, words, _ in _blocks(batches, pattern):
+    def blocks_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each block, its words by group, and a row with its documents' places among them."""
+        for block, words, held in _blocks(batches, pattern):
             codes = [w.encode("utf-8", "surrogatepass") for w in words]
             to = np.array([xxhash.xxh3_64_intdigest(c) % deal for c in codes], np.int64)
             order = np.argsort(to, kind="stable")
@@ -167,20 +168,29 @@ def encode_documents(
                 for part in np.split(order, cuts[1:])
                 if len(part)
             ]
+            lengths = np.array([len(p) for _, p in held], "<u4")
+            places = _squeeze(lengths, _planes(np.concatenate([p for _, p in held])))
+            n = len(blobs)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(to[order][cuts], pa.int64()),
-                    pa.array([block] * len(blobs), pa.int64()),
-                    pa.array(blobs, pa.binary()),
+                    pa.array([*to[order][cuts].tolist(), block], pa.int64()),
+                    pa.array([block] * (n + 1), pa.int64()),
+                    pa.array([-1] * n + [len(words)], pa.int64()),
+                    pa.array([None] * n + [[doc for doc, _ in held]], pa.list_(pa.int64())),
+                    pa.array([*blobs, places], pa.binary()),
                 ],
-                ["deal", "block", "words"],
+                ["to", "block", "n_words", "docs", "payload"],
             )
 
     def encode_words(group: pd.DataFrame) -> pd.DataFrame:
+        # Places stay for the blocks' own groups.
+        group = group[group["n_words"] < 0]
+        if not len(group):
+            return pd.DataFrame({"block": np.empty(0, np.int64), "ids": []})
         encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
         known: dict[bytes, np.ndarray] = {}
         out = []
-        for blob in group["words"]:
+        for blob in group["payload"]:
             places, lengths, text = _stretch(blob)
             ids, at = [], 0
             for n in np.frombuffer(lengths, "<u4").tolist():
@@ -197,23 +207,9 @@ def encode_documents(
             out.append(_squeeze(np.frombuffer(places, np.uint8), counts, flat))
         return pd.DataFrame({"block": group["block"].to_numpy(), "ids": out})
 
-    def places_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, words, held in _blocks(batches, pattern):
-            ids = [doc for doc, _ in held]
-            lengths = np.array([len(p) for _, p in held], "<u4")
-            flat = np.concatenate([p for _, p in held])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block], pa.int64()),
-                    pa.array([len(words)], pa.int64()),
-                    pa.array([ids], pa.list_(pa.int64())),
-                    pa.array([_squeeze(lengths, _planes(flat))], pa.binary()),
-                ],
-                ["block", "n_words", "docs", "places"],
-            )
-
     def together(places: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple] = []
+        places = places[places["n_words"] >= 0]
         if len(places):
             n = int(places["n_words"].iloc[0])
             counts, parts = np.full(n, -1, np.int64), []
@@ -223,12 +219,12 @@ def encode_documents(
                 counts[at] = np.frombuffer(lengths, "<u4")
                 parts.append((at, flat))
             if (counts < 0).any():
-                raise RuntimeError("the input was split differently when it was read again")
+                raise RuntimeError("a block's words are not all there")
             begins = np.concatenate([[0], np.cumsum(counts)])
             table = np.empty(int(begins[-1]), "<u4")
             for at, flat in parts:
                 table[_ranges(begins[at], counts[at])] = np.frombuffer(flat, "<u4")
-            for docs, blob in zip(places["docs"], places["places"], strict=True):
+            for docs, blob in zip(places["docs"], places["payload"], strict=True):
                 lengths, flat = _stretch(blob)
                 all_places, end = _from_planes(flat), 0
                 for doc, length in zip(docs, np.frombuffer(lengths, "<u4").tolist(), strict=True):
@@ -239,13 +235,11 @@ def encode_documents(
         out = pd.DataFrame(rows, columns=columns)
         return out.astype({"doc_id": "Int64", "n_tokens": "int64"})
 
-    encoded = (
-        source.mapInArrow(words_out, "deal long, block long, words binary")
-        .groupBy("deal")
-        .applyInPandas(encode_words, "block long, ids binary")
-    )
-    placed = source.mapInArrow(places_out, "block long, n_words long, docs array<long>, places binary")
-    return placed.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
+    # Words go to their group and places to their block in one exchange, which both readers below share: the text is
+    # split once.  Blocks are named by hashes far above the numbers of groups.
+    dealt = source.mapInArrow(blocks_out, "to long, block long, n_words long, docs array<long>, payload binary")
+    encoded = dealt.groupBy("to").applyInPandas(encode_words, "block long, ids binary")
+    return dealt.groupBy("to").cogroup(encoded.groupBy("block")).applyInPandas(
         together, f"doc_id long, n_tokens long, {result_schema}"
     )
 
