@@ -41,6 +41,11 @@ def time_key(ts: Column | str) -> Column:
     return days * 86400 + clock
 
 
+def line_key() -> Column:
+    """Identity of a sold line: its message and its number there."""
+    return F.concat_ws("-", F.col("source_id").cast("string"), F.col("line_no").cast("string"))
+
+
 def calendar(ts: str) -> list[Column]:
     """Calendar columns of a time row; weekday counts from 1 = Sunday."""
     return [

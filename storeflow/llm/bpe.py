@@ -159,23 +159,26 @@ def encode_documents(
             to = np.array([xxhash.xxh3_64_intdigest(c) % deal for c in codes], np.int64)
             order = np.argsort(to, kind="stable")
             cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
+            parts = [part for part in np.split(order, cuts[1:]) if len(part)]
+            # A word is named by its place among its group's words and the group, so neither need be sent with it.
+            named = np.empty(len(words), np.int64)
+            for part in parts:
+                named[part] = np.arange(len(part)) * deal + to[part]
             blobs = [
                 _squeeze(
-                    np.diff(part, prepend=0).astype("<u4"),
-                    np.array([len(codes[i]) for i in part], "<u4"),
+                    _planes(np.array([len(codes[i]) for i in part], "<u4")),
                     np.frombuffer(b"".join([codes[i] for i in part]), np.uint8),
                 )
-                for part in np.split(order, cuts[1:])
-                if len(part)
+                for part in parts
             ]
             lengths = np.array([len(p) for _, p in held], "<u4")
-            places = _squeeze(lengths, _planes(np.concatenate([p for _, p in held])))
+            places = _squeeze(lengths, _planes(named[np.concatenate([p for _, p in held])]))
             n = len(blobs)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([*to[order][cuts].tolist(), block], pa.int64()),
                     pa.array([block] * (n + 1), pa.int64()),
-                    pa.array([-1] * n + [len(words)], pa.int64()),
+                    pa.array([-1] * n + [int(named.max(initial=-1)) + 1], pa.int64()),
                     pa.array([None] * n + [[doc for doc, _ in held]], pa.list_(pa.int64())),
                     pa.array([*blobs, places], pa.binary()),
                 ],
@@ -189,11 +192,11 @@ def encode_documents(
             return pd.DataFrame({"block": np.empty(0, np.int64), "ids": []})
         encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
         known: dict[bytes, np.ndarray] = {}
-        out = []
+        to, out = group["to"].to_numpy()[:1].astype("<u4"), []
         for blob in group["payload"]:
-            places, lengths, text = _stretch(blob)
+            lengths, text = _stretch(blob)
             ids, at = [], 0
-            for n in np.frombuffer(lengths, "<u4").tolist():
+            for n in _from_planes(lengths).tolist():
                 word = text[at : at + n]
                 at += n
                 found = known.get(word)
@@ -204,7 +207,7 @@ def encode_documents(
                 ids.append(found)
             counts = np.array([len(x) for x in ids], "<u4")
             flat = np.concatenate(ids) if ids else np.empty(0, "<u4")
-            out.append(_squeeze(np.frombuffer(places, np.uint8), counts, flat))
+            out.append(_squeeze(to, _planes(counts), _planes(flat)))
         return pd.DataFrame({"block": group["block"].to_numpy(), "ids": out})
 
     def together(places: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
@@ -212,21 +215,23 @@ def encode_documents(
         places = places[places["n_words"] >= 0]
         if len(places):
             n = int(places["n_words"].iloc[0])
-            counts, parts = np.full(n, -1, np.int64), []
+            # Numbers between those of words stand for nothing and have no ids.
+            counts, parts = np.zeros(n, np.int64), []
             for blob in words["ids"]:
-                at, lengths, flat = _stretch(blob)
-                at = np.cumsum(np.frombuffer(at, "<u4"), dtype=np.int64)
-                counts[at] = np.frombuffer(lengths, "<u4")
-                parts.append((at, flat))
-            if (counts < 0).any():
-                raise RuntimeError("a block's words are not all there")
+                to, lengths, flat = _stretch(blob)
+                lengths = _from_planes(lengths)
+                at = np.arange(len(lengths)) * deal + int(np.frombuffer(to, "<u4")[0])
+                counts[at] = lengths
+                parts.append((at, _from_planes(flat)))
             begins = np.concatenate([[0], np.cumsum(counts)])
             table = np.empty(int(begins[-1]), "<u4")
             for at, flat in parts:
-                table[_ranges(begins[at], counts[at])] = np.frombuffer(flat, "<u4")
+                table[_ranges(begins[at], counts[at])] = flat
             for docs, blob in zip(places["docs"], places["payload"], strict=True):
                 lengths, flat = _stretch(blob)
                 all_places, end = _from_planes(flat), 0
+                if not counts[all_places].all():
+                    raise RuntimeError("a block's words are not all there")
                 for doc, length in zip(docs, np.frombuffer(lengths, "<u4").tolist(), strict=True):
                     mine = all_places[end : end + length].astype(np.int64)
                     end += length

@@ -38,6 +38,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def groups_for(df: DataFrame, bytes_each: int) -> int:
+    """How many groups to deal work to: as many as shuffle partitions, or as the size of the input asks for."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # A plan without statistics counts as endless.
+    return max(partitions(df.sparkSession), size // bytes_each if size < 1 << 60 else 0)
+
+
 def words(text: str) -> list[bytes]:
     """Words of a text with A-Z lowered.  bytes.split() splits on just the six characters of ``SPACE``."""
     return text.encode("utf-8", "surrogatepass").lower().split()

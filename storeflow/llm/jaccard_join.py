@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storeflow.llm.common import id_and_text, stored
+from storeflow.llm.common import groups_for, id_and_text, stored
 from storeflow.llm.components import components
-from storeflow.llm.shingles import blocked_sets, blocked_texts, shared_ngrams
+from storeflow.llm.shingles import GROUP_BYTES, mixed, shared_of_sets, shared_of_texts
 
 WIDTH = 3
 PERCENT = 90
 PIVOTS = 8
+# Parts into which sets are cut by hash; a set has a bit for each, whether it holds an odd number of n-grams there.
+PARITIES = 256
 
 
 def _prefix(n: Column, shared: Column, percent: int) -> Column:
@@ -34,40 +36,56 @@ def _prefix(n: Column, shared: Column, percent: int) -> Column:
 
 
 def _may_link(percent: int) -> Column:
-    """Length and positional filters for a pair that meets at places ``pos`` of both prefixes."""
+    """Length, positional and suffix filters for a pair that meets at places ``pos`` of both prefixes."""
     need = F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
     rest = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    # What stands before the place in one prefix may at best be common as well, unless no other document holds it.
+    before = F.least(F.col("a_pos") - F.col("a_alone"), F.col("b_pos") - F.col("b_alone"))
+    # Suffix filter: where the parities of a part of the sets differ, at least one n-gram is not common.
+    apart = F.col("a_alone") + F.col("b_alone")
+    for k in range(PARITIES // 64):
+        apart += F.bit_count(F.col(f"a_p{k}").bitwiseXOR(F.col(f"b_p{k}")))
     return (
         (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        # What stands before the place in one prefix may at best be common as well.
-        & (F.least("a_pos", "b_pos") + rest >= need)
+        & (before + rest >= need)
+        & (apart <= F.col("a_n") + F.col("b_n") - 2 * need)
     )
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, doc_id, n, pos) for the n-grams of prefixes."""
+    """(key, doc_id, n, alone, pos, p0, p1, ...) for the n-grams of prefixes.
+
+    ``alone`` counts n-grams that no other document holds, ``p0``, ... are the parities of the others.
+    """
+    bits = [f"p{k}" for k in range(PARITIES // 64)]
+
+    def parities(keys: bytes) -> np.ndarray:
+        part = mixed(np.frombuffer(keys, "<u8")) % np.uint64(PARITIES)
+        odd = np.bincount(part.astype(np.int64), minlength=PARITIES) & 1
+        return np.packbits(odd.astype(np.uint8)).view("<i8")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, n, shared, prefix = (batch.column(k).to_numpy() for k in range(4))
-            keys = [
-                np.frombuffer(k, "<u8", p).view(np.int64)
-                for k, p in zip(batch.column(4).to_pylist(), prefix.tolist(), strict=True)
-            ]
+            packed = batch.column(4).to_pylist()
+            keys = [np.frombuffer(k, "<u8", p).view(np.int64) for k, p in zip(packed, prefix.tolist(), strict=True)]
+            odd = np.array([parities(k) for k in packed], np.int64).reshape(-1, len(bits))
             places = [np.arange(p) + a for p, a in zip(prefix.tolist(), (n - shared).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([*keys, np.empty(0, np.int64)])),
                     pa.array(np.repeat(doc, prefix)),
                     pa.array(np.repeat(n, prefix)),
+                    pa.array(np.repeat(n - shared, prefix)),
                     pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64)),
+                    *[pa.array(np.repeat(column, prefix)) for column in odd.T],
                 ],
-                ["key", "doc_id", "n", "pos"],
+                ["key", "doc_id", "n", "alone", "pos", *bits],
             )
 
     prefix = F.least(_prefix(F.col("n"), F.col("shared"), percent), F.col("shared"))
     return sets.select("doc_id", "n", "shared", prefix.cast("long").alias("prefix"), "keys").mapInArrow(
-        explode, "key long, doc_id long, n long, pos long"
+        explode, ", ".join(f"{c} long" for c in ["key", "doc_id", "n", "alone", "pos", *bits])
     )
 
 
@@ -107,7 +125,7 @@ def _sided(postings: DataFrame, side: str, *more: str) -> DataFrame:
         "key",
         F.col("doc_id").alias(side),
         F.col("n").alias(f"{side}_n"),
-        F.col("pos").alias(f"{side}_pos"),
+        *[F.col(c).alias(f"{side}_{c}") for c in postings.columns if c in ("alone", "pos") or c[0] == "p" and c[1:].isdigit()],
         *[F.col(c).alias(f"{side}_{c}") for c in more],
     )
 
@@ -124,8 +142,9 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """Enough pairs (a, b) of linked documents to hold each group of linked documents together."""
     postings = stored(_postings(sets, percent), "postings")
-    by_hash = Window.partitionBy("key").orderBy(F.xxhash64("doc_id"), "doc_id")
-    pivots = postings.withColumn("_r", F.row_number().over(by_hash)).where(F.col("_r") <= PIVOTS).drop("_r")
+    # The documents least changed come first: copies of one text are nearest to those.
+    central = Window.partitionBy("key").orderBy("alone", F.xxhash64("doc_id"), "doc_id")
+    pivots = postings.withColumn("_r", F.row_number().over(central)).where(F.col("_r") <= PIVOTS).drop("_r")
     first = stored(_pairs(_sided(pivots, "a").join(_sided(postings, "b"), "key"), percent), "pairs")
     found = stored(_verified(first, sets, percent), "links")
 
@@ -164,7 +183,7 @@ def jaccard_groups(
     matching and each get a row; rows with a null id match nothing and have a null component.  Other columns are
     not looked at.
     """
-    every = stored(shared_ngrams(blocked_texts(id_and_text(docs, id_col, text_col), width)), "shared")
+    every = stored(shared_of_texts(id_and_text(docs, id_col, text_col), width, percent), "shared")
     able = (F.col("n") > 0) & (_prefix(F.col("n"), F.col("shared"), percent) > 0) & F.col("doc_id").isNotNull()
     # Documents of one set hold only shared n-grams; the others stand for themselves.
     same = F.when(F.col("n") == F.col("shared"), F.sha2("keys", 256)).otherwise(F.col("doc_id").cast("string"))
@@ -172,7 +191,7 @@ def jaccard_groups(
     named = stored(living.groupBy("same").agg(F.min("doc_id").alias("rep")), "equal")
     rep = named.select(F.col("rep").alias("doc_id")).distinct()
     first = living.join(rep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    again = shared_ngrams(blocked_sets(first))
+    again = shared_of_sets(first, percent, groups_for(every, GROUP_BYTES))
     sets = stored(again.where(able), "sets")
     found = components(links(sets, percent)).withColumnRenamed("node", "rep")
     member = (

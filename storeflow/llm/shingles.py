@@ -1,8 +1,9 @@
 """Hashed words and word n-grams, and an exchange that counts in how many documents an n-gram stands.
 
-N-grams are compared by 64-bit hashes.  They travel in packed arrays: a block of documents sends each
-of ``deal`` counting groups one row with that group's n-grams, document by document.  The number of groups follows
-``spark.sql.shuffle.partitions``; n-grams are dealt by hash and stand once per document, so groups are even.
+N-grams are compared by hashes of 56 bits within one of ``deal`` counting groups (61 bits with 32 groups).  They travel
+in packed arrays: a block of documents sends each group one row with that group's n-grams, document by document.  The
+number of groups follows ``spark.sql.shuffle.partitions``, and the input where that is larger; n-grams are dealt by
+hash and stand once per document, so groups are even.
 """
 
 from __future__ import annotations
@@ -15,9 +16,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from storeflow.llm.common import partitions, words
+from storeflow.llm.common import groups_for, words
 
 BLOCK_NGRAMS = 2_000_000
+# Bytes of texts or sets per counting group.
+GROUP_BYTES = 64 << 20
+# Bytes of an n-gram's hash on its way, and of the number of documents it stands in (no more than these tell).
+SENT, MOST_DOCS = 7, (1 << 16) - 1
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -66,6 +71,17 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tupl
             yield doc, np.unique(ngram_hashes(hasher(words(text)), width))
 
 
+def _narrow(keys: np.ndarray) -> bytes:
+    """The low ``SENT`` bytes of 64-bit numbers."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // SENT, 8), np.uint8)
+    out[:, :SENT] = np.frombuffer(raw, np.uint8).reshape(-1, SENT)
+    return out.view("<u8").ravel()
+
+
 BLOCKED = "deal long, block long, head boolean, payload binary"
 
 
@@ -90,7 +106,8 @@ def blocks(sets: Iterable[tuple], deal: int) -> Iterator[pa.RecordBatch]:
             if len(mine):
                 deals.append(d)
                 counts = np.bincount(owner[mine], minlength=len(held)).astype("<u4")
-                payloads.append(np.array([len(held)], "<u4").tobytes() + counts.tobytes() + keys[mine].tobytes())
+                head = np.array([d, len(held)], "<u4").tobytes()
+                payloads.append(head + counts.tobytes() + _narrow(keys[mine] // np.uint64(deal)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(deals, pa.int64()),
@@ -111,9 +128,10 @@ def blocks(sets: Iterable[tuple], deal: int) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    (n,) = np.frombuffer(payload, "<u4", 1)
-    return np.frombuffer(payload, "<u4", n, 4), np.frombuffer(payload, "<u8", offset=4 + 4 * int(n))
+def _unpack(payload: bytes) -> tuple[int, np.ndarray, bytes]:
+    """(group, n-grams per document, the rest)."""
+    d, n = np.frombuffer(payload, "<u4", 2).tolist()
+    return d, np.frombuffer(payload, "<u4", n, 8), payload[8 + 4 * n :]
 
 
 def _count(group: pd.DataFrame) -> pd.DataFrame:
@@ -121,28 +139,29 @@ def _count(group: pd.DataFrame) -> pd.DataFrame:
     out = list(group["payload"])
     body = [k for k, head in enumerate(group["head"]) if not head]
     if body:
-        parts = [_unpack(out[k]) for k in body]
-        keys = np.concatenate([p[1] for p in parts])
+        parts = [(*_unpack(out[k])[:2], _wide(_unpack(out[k])[2])) for k in body]
+        keys = np.concatenate([p[2] for p in parts])
         _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        df = counts[inverse].astype("<u4")
+        df = np.minimum(counts, MOST_DOCS)[inverse].astype("<u2")
         at = 0
-        for k, (per_doc, mine) in zip(body, parts, strict=True):
+        for k, (d, per_doc, mine) in zip(body, parts, strict=True):
             mine_df = df[at : at + len(mine)]
             at += len(mine)
             shared = mine_df > 1
             owner = np.repeat(np.arange(len(per_doc)), per_doc)[shared]
             per_doc = np.bincount(owner, minlength=len(per_doc)).astype("<u4")
-            out[k] = (
-                np.array([len(per_doc)], "<u4").tobytes()
-                + per_doc.tobytes()
-                + mine[shared].tobytes()
-                + mine_df[shared].tobytes()
-            )
+            head = np.array([d, len(per_doc)], "<u4").tobytes()
+            out[k] = head + per_doc.tobytes() + _narrow(mine[shared]) + mine_df[shared].tobytes()
     return pd.DataFrame({"block": group["block"].to_numpy(), "head": group["head"].to_numpy(), "payload": out})
 
 
-def _gather(group: pd.DataFrame) -> pd.DataFrame:
-    """Documents of a block with their shared n-grams, rarest first."""
+def prefix_length(n: int, shared: int, percent: int) -> int:
+    """How many shared n-grams a document's prefix holds behind those of this document alone."""
+    return n - -(-n * percent // 100) + 1 - (n - shared)
+
+
+def _gather(group: pd.DataFrame, deal: int, percent: int) -> pd.DataFrame:
+    """Documents of a block with their shared n-grams, rarest first; without them if none is in the prefix."""
     names = ["doc_id", "n", "shared", "keys"]
     heads = group.loc[group["head"], "payload"].tolist()
     if not heads:
@@ -155,15 +174,14 @@ def _gather(group: pd.DataFrame) -> pd.DataFrame:
     owners, keys, dfs = [], [], []
     # Equal blocks (repeated rows) come more than once, with equal rows.
     for payload in set(group.loc[~group["head"], "payload"]):
-        (n,) = np.frombuffer(payload, "<u4", 1)
-        per_doc = np.frombuffer(payload, "<u4", n, 4)
+        d, per_doc, rest = _unpack(payload)
         count = int(per_doc.sum())
-        keys.append(np.frombuffer(payload, "<u8", count, 4 + 4 * int(n)))
-        dfs.append(np.frombuffer(payload, "<u4", count, 4 + 4 * int(n) + 8 * count))
-        owners.append(np.repeat(np.arange(int(n)), per_doc))
+        keys.append(_wide(rest[: SENT * count]) * np.uint64(deal) + np.uint64(d))
+        dfs.append(np.frombuffer(rest, "<u2", count, SENT * count))
+        owners.append(np.repeat(np.arange(len(per_doc)), per_doc))
     owner = np.concatenate(owners) if owners else np.empty(0, np.int64)
     key = np.concatenate(keys) if keys else np.empty(0, "<u8")
-    df = np.concatenate(dfs) if dfs else np.empty(0, "<u4")
+    df = np.concatenate(dfs) if dfs else np.empty(0, "<u2")
     order = np.lexsort((key, df, owner))
     key = key[order]
     ends = np.searchsorted(owner[order], np.arange(m + 1))
@@ -173,36 +191,42 @@ def _gather(group: pd.DataFrame) -> pd.DataFrame:
             "doc_id": pd.array([int(d) if k else None for d, k in zip(docs, known, strict=True)], "Int64"),
             "n": sizes,
             "shared": np.diff(ends),
-            "keys": [key[ends[k] : ends[k + 1]].tobytes() for k in range(m)],
+            "keys": [
+                key[i:j].tobytes() if prefix_length(n, j - i, percent) > 0 else b""
+                for n, i, j in zip(sizes.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+            ],
         }
     )
     return pd.concat([out] * repeats) if repeats > 1 else out
 
 
-def shared_ngrams(blocked: DataFrame) -> DataFrame:
-    """One row per document: (doc_id, n, shared, keys): set size, and the n-grams that other documents hold too,
-    rarest first (then by hash), as 64-bit numbers."""
+def shared_ngrams(blocked: DataFrame, deal: int, percent: int) -> DataFrame:
+    """One row per document: (doc_id, n, shared, keys): set size, how many of its n-grams other documents hold too, and
+    these, rarest first (then by hash), as 64-bit numbers; no keys where the prefix for ``percent`` holds none of them."""
+
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        return _gather(group, deal, percent)
+
     return (
         blocked.groupBy("deal")
         .applyInPandas(_count, "block long, head boolean, payload binary")
         .groupBy("block")
-        .applyInPandas(_gather, "doc_id long, n long, shared long, keys binary")
+        .applyInPandas(gather, "doc_id long, n long, shared long, keys binary")
     )
 
 
-def blocked_texts(docs: DataFrame, width: int) -> DataFrame:
-    """``BLOCKED`` rows of (doc_id, text)."""
-    deal = partitions(docs.sparkSession)
+def shared_of_texts(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """:func:`shared_ngrams` of (doc_id, text)."""
+    deal = groups_for(docs, GROUP_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return blocks(((d, len(k), k) for d, k in shingle_sets(batches, width)), deal)
 
-    return docs.mapInArrow(run, BLOCKED)
+    return shared_ngrams(docs.mapInArrow(run, BLOCKED), deal, percent)
 
 
-def blocked_sets(sets: DataFrame) -> DataFrame:
-    """``BLOCKED`` rows of (doc_id, n, keys)."""
-    deal = partitions(sets.sparkSession)
+def shared_of_sets(sets: DataFrame, percent: int, deal: int) -> DataFrame:
+    """:func:`shared_ngrams` of (doc_id, n, keys), in ``deal`` counting groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
@@ -212,4 +236,4 @@ def blocked_sets(sets: DataFrame) -> DataFrame:
 
         return blocks(each(), deal)
 
-    return sets.select("doc_id", "n", "keys").mapInArrow(run, BLOCKED)
+    return shared_ngrams(sets.select("doc_id", "n", "keys").mapInArrow(run, BLOCKED), deal, percent)

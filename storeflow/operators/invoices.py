@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from storeflow.functions.columns import line_key
 from storeflow.schemas import CORRUPT, IMPORT_INVOICE, MONEY, PURCHASE_INVOICE
 
 _MESSAGE_POSITION = ("topic", "partition", "offset")
@@ -23,7 +24,7 @@ def message_id(columns: list[str]) -> Column:
             F.lpad(F.col("partition").cast("string"), 6, "0"),
             F.lpad(F.col("offset").cast("string"), 19, "0"),
         )
-    return F.hex(F.xxhash64("value"))
+    return F.sha2("value", 256)
 
 
 def _first_line(invoices: DataFrame) -> Column:
@@ -147,9 +148,10 @@ def purchase_rejects(invoices: DataFrame) -> DataFrame:
     return rejects(invoices, "purchased_items", "source_id", PURCHASE_INVOICE, "payload")
 
 
-def notifications(lines: DataFrame) -> DataFrame:
-    """One JSON text per sold line.  The time stays the text that arrived."""
+def notifications(lines: DataFrame, *more: str) -> DataFrame:
+    """One JSON text per sold line, with ``more`` columns as they are.  The time stays the text that arrived."""
     return lines.select(
+        *more,
         F.to_json(
             F.struct(
                 "customer_id", "customer_name", "total_invoice_amount", "timestamp",
@@ -159,6 +161,12 @@ def notifications(lines: DataFrame) -> DataFrame:
     )
 
 
+def keyed_notifications(lines: DataFrame) -> DataFrame:
+    """Notifications with a ``key``: a notice that is sent twice carries the same one, so a reader can drop repeats."""
+    keyed = lines.withColumn("key", line_key())
+    return notifications(keyed, "key")
+
+
 def to_messages(df: DataFrame, key: str) -> DataFrame:
     """Rows as keyed JSON messages; the key spreads them over the topic's partitions."""
     return df.select(

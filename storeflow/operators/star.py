@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeflow.functions.columns import calendar, time_key
+from storeflow.functions.columns import calendar, line_key, time_key
+from storeflow.plans.lineage import freeze
+from storeflow.plans.skew import BROADCAST_ROWS
 
 _CLOCK = ["date", "hour", "minute", "second"]
 
@@ -38,12 +40,19 @@ def time_rows(lines: DataFrame, column: str = "timestamp") -> DataFrame:
 
 
 def new_dim_rows(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the dimension does not have yet.
+    """Rows (one per key) whose key the dimension does not have yet.
 
-    The dimension is first cut down to the keys at hand, so a long dimension is
-    scanned for one column and not shuffled whole when the batch is small.
+    The rows are built once.  Of the dimension just the key column is scanned, between the smallest and
+    largest key at hand, so files of other stretches (of time, say) are passed over by their statistics.  If the
+    keys are few enough to go to every executor, a long dimension is not shuffled.
     """
-    known = dim.select(key).join(rows.select(key), key, "left_semi")
+    rows = freeze(rows)
+    n, low, high = rows.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    if not n:
+        return rows
+    known = dim.select(key).where(F.col(key).between(F.lit(low), F.lit(high)))
+    if n <= BROADCAST_ROWS:
+        known = known.join(F.broadcast(rows.select(key)), key, "left_semi")
     return rows.join(known, key, "left_anti")
 
 
@@ -77,7 +86,7 @@ def sales_fact(lines: DataFrame, time_dim: DataFrame | None = None) -> DataFrame
         "product_id",
         "customer_id",
         "time_id",
-        F.xxhash64("source_id", "line_no").alias("sale_id"),
+        line_key().alias("sale_id"),
         "quantity",
         F.col("price").alias("sale_prices"),
         F.col("total_price").alias("total_amount"),

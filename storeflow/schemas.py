@@ -66,7 +66,7 @@ TABLES: dict[str, T.StructType] = {
         hour=_INT, minute=_INT, second=_INT, weekday=_INT,
     ),
     "sales_fact": _struct(
-        product_id=_STR, customer_id=_STR, time_id=_LONG, sale_id=_LONG,
+        product_id=_STR, customer_id=_STR, time_id=_LONG, sale_id=_STR,
         quantity=_INT, sale_prices=MONEY, total_amount=MONEY,
     ),
     # Of the products of a snapshot: where their first receipt stands among movements.

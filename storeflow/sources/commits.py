@@ -8,6 +8,7 @@ failed attempt left behind has no entry.  Writing a batch again replaces its ent
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
@@ -32,9 +33,10 @@ class Part:
 class CommitLog:
     """Entries below one folder: ``<source>/<batch>.json``."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, folder: str, read_many: Callable[[list[str]], list[str]]):
+        """``read_many`` gives the contents of many small files, in any order."""
         self.folder = folder
+        self.read_many = read_many
         self.files = Files(spark)
         # Entries are written once per attempt, so name, size and time say whether one was read before.
         self._read: dict[File, list[Part]] = {}
@@ -53,11 +55,10 @@ class CommitLog:
         if len(files) <= READ_HERE:
             return {f.path: self.files.read(f.path) for f in files}
         # Entries hold their own place, as a reader may spell a path otherwise.
-        rows = self.spark.read.text([f.path for f in files], wholetext=True).collect()
         by_key = {}
-        for row in rows:
-            entry = json.loads(row["value"])
-            by_key[(entry["source"], entry["batch_id"])] = row["value"]
+        for text in self.read_many([f.path for f in files]):
+            entry = json.loads(text)
+            by_key[(entry["source"], entry["batch_id"])] = text
         return {f.path: by_key[(f.path.split("/")[-2], int(f.name.split(".")[0]))] for f in files}
 
     def commit(self, source: str, batch_id: int, parts: list[Part]) -> None:

@@ -8,7 +8,7 @@ a table.  Writing the same batch again leaves the tables as they are.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from threading import Lock
@@ -70,7 +70,7 @@ class ParquetStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.log = CommitLog(spark, f"{self.root}/_commits")
+        self.log = CommitLog(spark, f"{self.root}/_commits", self._texts)
 
     def create(self, tables: Iterable[str] = TABLES) -> ParquetStore:
         """Set up the folders; tables without batches are empty tables anyway."""
@@ -79,6 +79,10 @@ class ParquetStore:
             files.make_folder(f"{self.root}/{folder}")
         return self
 
+    def _texts(self, paths: list[str]) -> list[str]:
+        """Entries of the log: one small text per batch since the last compaction."""
+        return [row["value"] for row in self.spark.read.text(paths, wholetext=True).collect()]
+
     @contextmanager
     def batch(self, source: str, batch_id: int) -> Iterator[Batch]:
         """A batch over several tables; an exception leaves nothing of it behind that anyone reads."""
@@ -86,6 +90,14 @@ class ParquetStore:
         yield writing
         writing.commit()
 
+    def finished(self, source: str, batch_id: int) -> bool:
+        """Has the batch been written, whatever tables it has?"""
+        return self.log.has(source, batch_id)
+
+    def mark(self, source: str, batch_id: int) -> None:
+        """Note a batch as finished that writes no table."""
+        self.log.commit(source, batch_id, [])
+
     def append(self, df: DataFrame, table: str, source: str, batch_id: int) -> None:
         with self.batch(source, batch_id) as writing:
             writing.append(df, table)
@@ -199,16 +211,53 @@ def run_together(spark: SparkSession, at_once: int, *calls: tuple) -> None:
             done.result()
 
 
+class JdbcBatch:
+    """One micro-batch on its way into a database: each table is first written beside its target."""
+
+    def __init__(self, store: JdbcStore, source: str, batch_id: int, skip: bool):
+        self.store, self.source, self.batch_id, self.skip = store, source, batch_id, skip
+        self._columns: dict[str, list[str]] = {}
+        self._lock = Lock()
+
+    def stage(self, table: str) -> str:
+        """Tables of their own per stream, as streams write at the same time."""
+        return f"stage_{self.source}_{table}"
+
+    def append(self, df: DataFrame, table: str) -> None:
+        if self.skip:
+            return
+        columns = self.store.columns(table)
+        self.store.write(df.select(*columns), self.stage(table), "overwrite")
+        with self._lock:
+            self._columns[table] = columns
+
+    def statements(self) -> list[str]:
+        """What moves the rows and logs the batch, to be run in one transaction."""
+        moves = [
+            f"INSERT INTO {table} ({', '.join(columns)}) SELECT {', '.join(columns)} FROM {self.stage(table)}"
+            for table, columns in sorted(self._columns.items())
+        ]
+        return [
+            *moves,
+            f"INSERT INTO {JdbcStore.LOG} (table_name, source, batch_id) "
+            f"VALUES ('{JdbcStore.WHOLE}', '{self.source}', {int(self.batch_id)})",
+        ]
+
+
 class JdbcStore:
     """Tables in a database reached over JDBC.
 
     The caller supplies URL and properties; the tables must exist, as must
-    ``batch_log (table_name, source, batch_id)``.  A recorded batch is not written
-    again.  The log row follows the data in a transaction of its own, so a failure
-    in between repeats that batch: at least once, not exactly once.
+    ``batch_log (table_name, source, batch_id)``.  A recorded batch is not written again.
+
+    :meth:`batch` writes staging tables in parallel, then moves their rows and logs the batch in one transaction:
+    exactly once, for all its tables.  :meth:`append` writes one table directly; its log row follows the data in a
+    transaction of its own, so a failure in between repeats that batch: at least once.
     """
 
-    LOG = "batch_log"
+    LOG, WHOLE = "batch_log", "*"
+    # Rows a connection fetches at a time in reads split here, unless the properties say otherwise.
+    FETCH = "10000"
 
     def __init__(
         self,
@@ -216,33 +265,66 @@ class JdbcStore:
         url: str,
         properties: dict[str, str],
         splits: dict[str, dict] | None = None,
+        run: Callable[[list[str]], None] | None = None,
     ):
         """``splits`` gives per table the arguments that read it in parallel
-        (``column``, ``lowerBound``, ``upperBound``, ``numPartitions``)."""
+        (``column``, ``lowerBound``, ``upperBound``, ``numPartitions``), or just (``column``,
+        ``numPartitions``): bounds are then asked for.  ``run`` executes statements in one transaction (default: over
+        a connection of the driver's)."""
         self.spark = spark
         self.url = url
         self.properties = properties
         self.splits = splits or {}
+        self.run = run or self._in_one_transaction
 
     def read(self, table: str, before_batch: int | None = None) -> DataFrame:
         """The table.  Rows carry no batch, so ``before_batch`` has no effect."""
-        return self.spark.read.jdbc(
-            self.url, table, properties=self.properties, **self.splits.get(table, {})
-        )
+        return self._read(table, self.splits.get(table, {}))
+
+    def query(self, sql: str, alias: str = "q", split: str | None = None, parts: int = 1) -> DataFrame:
+        """Result of a query the database runs, read in ``parts`` stretches of the column ``split`` if given."""
+        splits = {"column": split, "numPartitions": parts} if split else {}
+        return self._read(f"({sql}) {alias}", splits)
+
+    def bounds(self, table: str, column: str) -> tuple | None:
+        """Smallest and largest value of a column; None if there is none."""
+        ends = self.query(f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}", "ends").first()
+        return None if ends is None or ends["low"] is None else (ends["low"], ends["high"])
+
+    def _read(self, table: str, split: dict) -> DataFrame:
+        properties = self.properties
+        if split and "lowerBound" not in split:
+            ends = self.bounds(table, split["column"])
+            split = split | {"lowerBound": ends[0], "upperBound": ends[1]} if ends else {}
+            properties = {"fetchsize": self.FETCH, **properties} if ends else properties
+        return self.spark.read.jdbc(self.url, table, properties=properties, **split)
+
+    def columns(self, table: str) -> list[str]:
+        """Columns a batch supplies; the database numbers the others."""
+        serial = SERIAL_COLUMNS.get(table, [])
+        return [c for c in TABLES[table].fieldNames() if c not in serial]
 
-    def query(self, sql: str, alias: str = "q") -> DataFrame:
-        """Result of a query the database runs."""
-        return self.spark.read.jdbc(self.url, f"({sql}) {alias}", properties=self.properties)
+    @contextmanager
+    def batch(self, source: str, batch_id: int) -> Iterator[JdbcBatch]:
+        """A batch over several tables, visible as a whole and once."""
+        writing = JdbcBatch(self, source, batch_id, skip=self.finished(source, batch_id))
+        yield writing
+        if not writing.skip:
+            self.run(writing.statements())
+
+    def finished(self, source: str, batch_id: int) -> bool:
+        return self._recorded(self.WHOLE, source, batch_id)
+
+    def mark(self, source: str, batch_id: int) -> None:
+        self.run(JdbcBatch(self, source, batch_id, skip=False).statements())
 
     def append(self, df: DataFrame, table: str, source: str, batch_id: int) -> None:
         if self._recorded(table, source, batch_id):
             return
-        serial = SERIAL_COLUMNS.get(table, [])
-        columns = [c for c in TABLES[table].fieldNames() if c not in serial]
-        self._write(df.select(*columns), table)
+        self.write(df.select(*self.columns(table)), table, "append")
         row = [(table, source, batch_id)]
         schema = "table_name string, source string, batch_id bigint"
-        self._write(self.spark.createDataFrame(row, schema), self.LOG)
+        self.write(self.spark.createDataFrame(row, schema), self.LOG, "append")
 
     def _recorded(self, table: str, source: str, batch_id: int) -> bool:
         done = self.query(
@@ -251,5 +333,21 @@ class JdbcStore:
         )
         return not done.isEmpty()
 
-    def _write(self, df: DataFrame, table: str) -> None:
-        df.write.jdbc(self.url, table, mode="append", properties=self.properties)
+    def write(self, df: DataFrame, table: str, mode: str) -> None:
+        df.write.jdbc(self.url, table, mode=mode, properties=self.properties)
+
+    def _in_one_transaction(self, statements: list[str]) -> None:
+        jvm = self.spark.sparkContext._jvm
+        wanted = jvm.java.util.Properties()
+        for name, value in self.properties.items():
+            wanted.setProperty(name, value)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, wanted)
+        try:
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            for sql in statements:
+                statement.executeUpdate(sql)
+            connection.commit()
+        finally:
+            # Closing without commit takes everything back.
+            connection.close()

@@ -124,16 +124,16 @@ def purchase_batch(
     """
     with _kept(invoices.parse_purchases(batch)) as parsed:
         todo = [(sale_batch, SALES), (warehouse_batch, STAR)]
-        calls = [(write, parsed, batch_id, store) for write, source in todo if not store.log.has(source, batch_id)]
-        if notify and not store.log.has(NOTICES, batch_id):
+        calls = [(write, parsed, batch_id, store) for write, source in todo if not store.finished(source, batch_id)]
+        if notify and not store.finished(NOTICES, batch_id):
             calls.append((_notices, parsed, batch_id, store, notify))
         if calls:
             run_together(batch.sparkSession, len(calls), *calls)
 
 
 def _notices(parsed: DataFrame, batch_id: int, store, notify: Callable[[DataFrame, int], None]) -> None:
-    notify(invoices.notifications(invoices.explode_purchases(parsed)), batch_id)
-    store.log.commit(NOTICES, batch_id, [])
+    notify(invoices.keyed_notifications(invoices.explode_purchases(parsed)), batch_id)
+    store.mark(NOTICES, batch_id)
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

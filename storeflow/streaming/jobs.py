@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from storeflow.operators.invoices import explode_purchases, notifications, parse_purchases
+from storeflow.operators.invoices import explode_purchases, keyed_notifications, parse_purchases
 from storeflow.streaming.batches import (
     guard_batch,
     import_batch,
@@ -50,8 +50,11 @@ def write_notifications(
     trigger: dict | None = None,
     name: str | None = "notifications",
 ) -> StreamingQuery:
-    """Publish one JSON record per sold line.  ``sink`` is ``kafka`` in production."""
-    records = notifications(explode_purchases(parse_purchases(messages)))
+    """Publish one keyed JSON record per sold line.  ``sink`` is ``kafka`` in production.
+
+    A batch that runs again may publish a record again, with the same key.
+    """
+    records = keyed_notifications(explode_purchases(parse_purchases(messages)))
     writer = _prepared(records, name, checkpoint, trigger)
     return writer.format(sink).options(**options).outputMode("append").start()
 

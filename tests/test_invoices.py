@@ -105,3 +105,11 @@ def test_messages_round_trip(spark):
     out = invoices.to_messages(df, "customer_id")
     back = out.select("key", F.from_json("value", "customer_id string, name string, n int").alias("v"))
     assert rows_of(back, "key", "v.name", "v.n") == {("C1", "ann", 1), ("C2", "bob", 2)}
+
+
+def test_notices_carry_a_key(spark):
+    lines = invoices.explode_purchases(invoices.parse_purchases(messages(spark, [purchase_doc("C1", [sold("A", 2, 3), sold("B", 1, 1)])])))
+    keyed = invoices.keyed_notifications(lines)
+    assert keyed.columns == ["key", "value"]
+    assert rows_of(keyed, "value") == rows_of(invoices.notifications(lines))
+    assert len(rows_of(keyed, "key")) == 2 and all(k.startswith("purchases-") for (k,) in rows_of(keyed, "key"))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from rows import at, money, rows_of
+from rows import at, money, plan_of, rows_of
 from storeflow.functions import columns
 from storeflow.operators import star
 from storeflow.schemas import TABLES, empty
@@ -106,3 +106,32 @@ def test_labels(spark):
 def test_sale_price_rounds_half_up(spark):
     df = spark.createDataFrame([(money("4.99"),), (money("10.49"),), (None,)], "c decimal(15,2)")
     assert rows_of(df.select(columns.sale_price("c"))) == {(money("5.99"),), (money("12.59"),), (None,)}
+
+
+def test_new_dimension_rows_read_a_stretch_of_the_dimension_without_shuffling_it(spark, tmp_path):
+    """A batch that fits every executor meets the dimension where it lies; rows beyond its keys are passed over."""
+    days = spark.range(100_000).select(F.col("id"), (F.col("id") % 7).cast("int").alias("weekday"))
+    days.repartitionByRange(8, "id").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    rows = spark.createDataFrame([(5, 1), (99_999, 2), (100_003, 3)], "id bigint, weekday int")
+    new = star.new_dim_rows(rows, dim, "id")
+    assert rows_of(new) == {(100_003, 3)}
+    # The part that reads the dimension: a scan of one column between two bounds, then a broadcast join.
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    dim_side = plan.split("Join LeftAnti")[1].split("Join LeftSemi")[1]
+    assert "Repartition" not in dim_side
+    physical = plan_of(new)
+    assert "GreaterThanOrEqual(id,5)" in physical and "LessThanOrEqual(id,100003)" in physical
+    assert "ReadSchema: struct<id:bigint>" in physical
+    scans = physical.split("Scan parquet")[1]
+    assert "BroadcastHashJoin" in physical and "Exchange hashpartitioning" not in scans
+
+
+def test_new_dimension_rows_of_nothing(spark):
+    nothing = empty(spark, TABLES["product_dim"])
+    assert star.new_dim_rows(nothing, nothing, "product_id").count() == 0
+
+
+def test_sale_keys_are_exact(spark):
+    fact = star.sales_fact(lines(spark, [("C", "A", 0), ("C", "A", 0)]))
+    assert rows_of(fact, "sale_id") == {("M0-0",), ("M1-0",)}

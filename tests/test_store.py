@@ -129,3 +129,72 @@ def test_jdbc_reads_table_and_subquery(spark):
     store.query("SELECT MAX(id) FROM time_dim", "latest")
     assert db.calls[0] == ("read", "time_dim", {"properties": {"user": "u"}, **split})
     assert db.calls[1][1] == "(SELECT MAX(id) FROM time_dim) latest"
+
+
+def test_jdbc_batch_stages_tables_and_moves_them_in_one_transaction(spark):
+    db, ran = FakeDatabase(spark), []
+    store = JdbcStore(db, "jdbc:x", {"user": "u"}, run=ran.append)
+    with store.batch("star", 3) as writing:
+        writing.append(FakeRows(db, []), "sales_fact")
+        writing.append(FakeRows(db, []), "product_dim")
+        assert ran == []
+    assert [(c[0], c[1]) for c in db.calls[1:]] == [
+        ("overwrite", "stage_star_sales_fact"), ("overwrite", "stage_star_product_dim")
+    ]
+    assert len(ran) == 1
+    products_in, sales_in, logged = ran[0]
+    assert products_in == (
+        "INSERT INTO product_dim (product_id, product_name) "
+        "SELECT product_id, product_name FROM stage_star_product_dim"
+    )
+    assert "sale_id" not in sales_in and "FROM stage_star_sales_fact" in sales_in
+    assert logged.endswith("VALUES ('*', 'star', 3)")
+
+
+def test_jdbc_batch_that_fails_moves_nothing(spark):
+    db, ran = FakeDatabase(spark), []
+    store = JdbcStore(db, "jdbc:x", {}, run=ran.append)
+    with pytest.raises(RuntimeError), store.batch("star", 3) as writing:
+        writing.append(FakeRows(db, []), "product_dim")
+        raise RuntimeError("lost")
+    assert ran == []
+
+
+def test_jdbc_batch_that_is_recorded_is_skipped(spark):
+    db, ran = FakeDatabase(spark, recorded=True), []
+    store = JdbcStore(db, "jdbc:x", {}, run=ran.append)
+    assert store.finished("star", 3)
+    with store.batch("star", 3) as writing:
+        writing.append(FakeRows(db, []), "product_dim")
+    assert ran == [] and all(c[0] == "read" for c in db.calls)
+
+
+def test_jdbc_splits_ask_for_bounds(spark):
+    class Bounded(FakeDatabase):
+        def jdbc(self, url, table, **kw):
+            self.calls.append((table, kw))
+            return self.real.createDataFrame([(5, 90)], "low int, high int")
+
+    db = Bounded(spark)
+    store = JdbcStore(db, "jdbc:x", {"user": "u"}, splits={"time_dim": {"column": "id", "numPartitions": 4}})
+    store.read("time_dim")
+    store.query("SELECT * FROM sales_fact WHERE quantity > 1", "s", split="time_id", parts=8)
+    asked = [table for table, _ in db.calls]
+    assert asked[0] == "(SELECT MIN(id) AS low, MAX(id) AS high FROM time_dim) ends"
+    assert db.calls[1] == (
+        "time_dim",
+        {"properties": {"fetchsize": "10000", "user": "u"}, "column": "id", "numPartitions": 4, "lowerBound": 5, "upperBound": 90},
+    )
+    assert asked[2].startswith("(SELECT MIN(time_id) AS low, MAX(time_id) AS high FROM (SELECT * FROM sales_fact")
+    assert db.calls[3][1]["numPartitions"] == 8 and db.calls[3][1]["column"] == "time_id"
+
+
+def test_jdbc_empty_table_is_read_in_one_part(spark):
+    class Empty(FakeDatabase):
+        def jdbc(self, url, table, **kw):
+            self.calls.append((table, kw))
+            return self.real.createDataFrame([(None, None)], "low int, high int")
+
+    db = Empty(spark)
+    JdbcStore(db, "jdbc:x", {}, splits={"time_dim": {"column": "id", "numPartitions": 4}}).read("time_dim")
+    assert db.calls[1] == ("time_dim", {"properties": {}})
