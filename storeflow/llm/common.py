@@ -22,6 +22,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}" in taken:
+        name = f"_{name}"
+    return f"_{name}"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -41,8 +49,8 @@ def partitions(spark: SparkSession) -> int:
 def groups_for(df: DataFrame, bytes_each: int) -> int:
     """How many groups to deal work to: as many as shuffle partitions, or as the size of the input asks for."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # A plan without statistics counts as endless.
-    return max(partitions(df.sparkSession), size // bytes_each if size < 1 << 60 else 0)
+    # A plan without statistics counts as endless, or as a part of that.
+    return max(partitions(df.sparkSession), size // bytes_each if size < 1 << 52 else 0)
 
 
 def words(text: str) -> list[bytes]:

@@ -179,28 +179,41 @@ def jaccard_groups(
 
     Words are lower-cased (A-Z).  Two documents are linked if ``100 * common >= percent * all`` of their distinct
     n-grams; ``component_id`` is the smallest id that can be reached.  Null, empty and blank texts have no n-gram and
-    no link; texts of fewer words have their whole sequence as the only one.  Rows with one id are one document in
-    matching and each get a row; rows with a null id match nothing and have a null component.  Other columns are
-    not looked at.
+    no link; texts of fewer words have their whole sequence as the only one; very long texts are taken whole.  Rows with
+    one id are one document, linked with whatever any of their texts is linked with, and each get a row; rows with a
+    null id match nothing and have a null component.  An empty table gives no rows; other columns are not looked at.
     """
     every = stored(shared_of_texts(id_and_text(docs, id_col, text_col), width, percent), "shared")
     able = (F.col("n") > 0) & (_prefix(F.col("n"), F.col("shared"), percent) > 0) & F.col("doc_id").isNotNull()
     # Documents of one set hold only shared n-grams; the others stand for themselves.
-    same = F.when(F.col("n") == F.col("shared"), F.sha2("keys", 256)).otherwise(F.col("doc_id").cast("string"))
+    digest = F.sha2("keys", 256)
+    same = F.when(F.col("n") == F.col("shared"), digest).otherwise(F.concat_ws("|", "doc_id", "n", digest))
     living = every.where(able).withColumn("same", same)
-    named = stored(living.groupBy("same").agg(F.min("doc_id").alias("rep")), "equal")
-    rep = named.select(F.col("rep").alias("doc_id")).distinct()
-    first = living.join(rep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    again = shared_of_sets(first, percent, groups_for(every, GROUP_BYTES))
+    # A node per set: rows that share an id may have several.
+    named = stored(
+        living.groupBy("same")
+        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "equal",
+    )
+    nodes = living.select("doc_id", "same").distinct().join(named.select("same", "node"), "same")
+    nodes = stored(nodes.select("doc_id", "node"), "nodes")
+    again = shared_of_sets(
+        named.select(F.col("node").alias("doc_id"), "n", "keys"), percent, groups_for(every, GROUP_BYTES)
+    )
     sets = stored(again.where(able), "sets")
-    found = components(links(sets, percent)).withColumnRenamed("node", "rep")
+    of_id = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b")
+    one_id = nodes.join(of_id.select("doc_id", "a"), "doc_id").where("node != a").select(F.col("node").alias("b"), "a")
+    found = components(links(sets, percent).unionByName(one_id))
+    placed = named.select("node", "rep").join(found, "node", "left").select(
+        "node", "rep", F.coalesce("component", "node").alias("component")
+    )
+    placed = stored(placed, "placed")
+    least = placed.groupBy("component").agg(F.min("rep").alias("least"))
     member = (
-        living.select("doc_id", "same")
-        .join(named, "same")
-        .join(found, "rep", "left")
-        .select("doc_id", F.coalesce("component", "rep").alias("component"))
+        nodes.join(placed.join(least, "component").select("node", "least"), "node")
         .groupBy("doc_id")
-        .agg(F.min("component").alias("component"))
+        .agg(F.min("least").alias("component"))
     )
     return (
         every.select("doc_id", F.col("n").alias("n_shingles"))
