@@ -13,6 +13,7 @@ unexpanded nodes, a few at a time.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -39,17 +40,15 @@ SEED = 5
 
 
 def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, v) without null ids and null or zero vectors, nulls and non-finite numbers; the most common length only."""
+    """(vec_id, v) without null ids and null or zero vectors, nulls and non-finite numbers."""
     v = F.col(vec_col).cast("array<double>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    good = (
+    return (
         df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
         .where("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
         .where(F.coalesce(finite, F.lit(False)))
         .where(F.exists("v", lambda x: x != 0))
     )
-    length = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return good.where(F.size("v") == (length["n"] if length else 0))
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -281,20 +280,30 @@ def nearest_neighbours(
     """(query_id, rank, vec_id, score): for ids divisible by ``every`` their ``top`` nearest found.
 
     Scores are inner products of the vectors as given, in double precision; ties go to smaller ids.  Null, zero and
-    non-finite vectors, null ids and vectors of another length than most take no part; an empty table gives no rows.  Of equal
+    non-finite vectors and null ids take no part; an empty table gives no rows.  Vectors of different lengths have no
+    inner product: each length has a graph of its own, and a query's candidates are vectors of its length.  Of equal
     vectors, any number, the smallest ``top + 1`` ids are remembered, which is all a result can hold.  Rows that share
-    an id and a vector count once.  Other columns are not looked at.
+    an id and a vector count once; rows that share just an id are rows of their own, never each other's neighbours, and
+    as queries each has its own neighbours.  Other columns are not looked at.
     """
-    good = stored(valid_vectors(vectors, id_col, vec_col).dropDuplicates(["vec_id"]), "vectors")
-    first = good.select(F.size("v").alias("n")).first()
-    width = (first["n"] if first else 0) + 1
+    good = stored(valid_vectors(vectors, id_col, vec_col).dropDuplicates(), "vectors")
+    lengths = [r["n"] for r in good.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    found = [_of_one_length(good.where(F.size("v") == n), n + 1, every, top) for n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _of_one_length(good: DataFrame, width: int, every: int, top: int) -> DataFrame:
+    """The result over vectors of ``width - 1`` components."""
     rank = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     kept = good.withColumn("_r", rank).where(F.col("_r") <= top + 1)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     longest = good.agg(F.max(square)).first()[0] or 0.0
     groups = stored(
-        kept.groupBy("v").agg(F.min("vec_id").alias("node"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
-        .withColumn("more", F.sqrt(F.greatest(F.lit(0.0), F.lit(longest) - square))),
+        kept.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+        .withColumn("more", F.sqrt(F.greatest(F.lit(0.0), F.lit(longest) - square)))
+        .withColumn("node", F.monotonically_increasing_id()),
         "groups",
     )
     scale = float(np.sqrt(longest)) or 1.0
@@ -308,25 +317,26 @@ def nearest_neighbours(
             )
 
     nodes = stored(groups.select("node", "v", "more").mapInArrow(pack, "node long, x binary"), "nodes")
-    deal = max(partitions(vectors.sparkSession), ceil(nodes.count() / BUCKET_NODES))
+    deal = max(partitions(good.sparkSession), ceil(nodes.count() / BUCKET_NODES))
     graph = build_graph(nodes, width, deal)
     asked = good.where(F.col("vec_id") % every == 0)
     own = groups.select("v", F.col("node").alias("start"))
-    started = stored(asked.join(own, "v").select("vec_id", "start", "v"), "queries")
-    queries = started.withColumn("more", F.lit(0.0)).select("vec_id", "v", "more").mapInArrow(
-        pack, "vec_id long, x binary"
-    ).withColumnRenamed("x", "y").join(started.select("vec_id", "start"), "vec_id").withColumnRenamed("vec_id", "q")
+    # A query is a row, so it has a number beside its id.
+    started = asked.join(own, "v").select("vec_id", "start", "v", F.monotonically_increasing_id().alias("q"))
+    started = stored(started, "queries")
+    packed = started.withColumn("more", F.lit(0.0)).select("q", "v", "more").mapInArrow(pack, "q long, x binary")
+    queries = packed.withColumnRenamed("x", "y").join(started.select("q", "start"), "q")
     found = search(queries, nodes, graph, width, deal)
     product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     scored = (
         found.join(groups.select("node", "v", "ids"), "node")
-        .join(started.select(F.col("vec_id").alias("q"), F.col("v").alias("qv")), "q")
-        .select("q", product.alias("score"), F.explode("ids").alias("vec_id"))
-        .where("q != vec_id")
+        .join(started.select("q", F.col("vec_id").alias("query_id"), F.col("v").alias("qv")), "q")
+        .select("q", "query_id", product.alias("score"), F.explode("ids").alias("vec_id"))
+        .where("query_id != vec_id")
     )
     order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     return (
         scored.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= top)
-        .select(F.col("q").alias("query_id"), "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", "score")
     )
