@@ -112,7 +112,7 @@ def fit(docs: DataFrame, targets: np.ndarray, buckets: int = BUCKETS) -> np.ndar
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """(doc_id, n_ngrams, log_weight)."""
+    """(doc_id, n_ngrams, log_weight, text_hash) of (doc_id, text, text_hash)."""
     buckets = len(ratios)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,11 +122,11 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 n.append(len(ngrams))
                 weight.append(float(ratios[ngrams].sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(weight, pa.float64())],
-                ["doc_id", "n_ngrams", "log_weight"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), batch.column(2)],
+                ["doc_id", "n_ngrams", "log_weight", "text_hash"],
             )
 
-    return docs.mapInArrow(score, "doc_id long, n_ngrams long, log_weight double")
+    return docs.mapInArrow(score, "doc_id long, n_ngrams long, log_weight double, text_hash long")
 
 
 def gumbel(doc_id: Column, seed: int = SEED) -> Column:
@@ -169,17 +169,19 @@ def resample(
     keep: int | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """One row per document: (doc_id, n_ngrams, log_weight, gumbel_key, kept).
+    """One row per document: (doc_id, n_ngrams, log_weight, text_hash, gumbel_key, kept).
 
-    ``keep`` documents are sampled; by default as many as have a log weight of at least ``-TOLERANCE``.  Rows with equal keys (repeated ids and texts) stand or fall together.  A null or empty text has
-    weight 0.  With no target document at all, nothing tells texts apart and everything is kept.  Extra columns are
-    not looked at.
+    ``keep`` documents are sampled; by default as many as have a log weight of at least ``-TOLERANCE``.  Rows with equal keys (repeated ids and texts) stand or fall together; rows that share just an id are judged each, and
+    ``text_hash`` (xxhash64 of the text, null as empty) tells them apart.  A null or empty text has
+    weight 0, a very long one is weighed whole.  With no target document at all, nothing tells texts apart and
+    everything is kept.  An empty table gives no rows; extra columns are not looked at.
     """
     source = id_and_text(docs, id_col, text_col)
+    hashed = source.withColumn("text_hash", F.xxhash64("text"))
     targets = target_ids(labels)
     ratios = fit(source, targets, buckets) if len(targets) else np.zeros(buckets)
     keys = stored(
-        weigh(source, ratios).withColumn("gumbel_key", F.col("log_weight") + NOISE * gumbel(F.col("doc_id"))),
+        weigh(hashed, ratios).withColumn("gumbel_key", F.col("log_weight") + NOISE * gumbel(F.col("doc_id"))),
         "weights",
     )
     if keep is None:
