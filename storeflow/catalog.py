@@ -18,6 +18,7 @@ from storeflow.plans.views import LINE_ORDER, Retail
 from storeflow.schemas import IMPORT_INVOICE, MONEY, TABLES, empty
 from storeflow.sources.store import ParquetStore
 from storeflow.sources.streams import read_archived_imports, read_import_stream, read_imports
+from storeflow.streaming.batches import STAR
 from storeflow.streaming.jobs import (
     start_guard,
     start_imports,
@@ -41,6 +42,19 @@ def revenue_by_minute(spark: SparkSession, folder: str) -> DataFrame:
     return reports.revenue_by_minute(star.sales_fact(till), star.time_rows(till))
 
 
+def revenue_by_minute_weekend(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue per minute of Saturdays and Sundays, from facts in folders by day."""
+    till = Retail(spark, folder).till()
+    facts = star.sales_fact(till).withColumns({c: F.col(c).cast("string") for c in ("product_id", "customer_id")})
+    store = _new_store(spark)
+    with store.batch(STAR, 0) as writing:
+        writing.append(facts, "sales_fact")
+        writing.append(star.time_rows(till), "time_dim")
+    warehouse = Warehouse(store)
+    warehouse.lay_out_facts(0)
+    return warehouse.revenue_by_minute_of(F.col("weekday").isin(1, 7))
+
+
 def units_by_product(spark: SparkSession, folder: str) -> DataFrame:
     r = Retail(spark, folder)
     return reports.units_by_product(r.product_sales(), r.products())
@@ -465,7 +479,7 @@ def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     fn.__name__: fn
     for fn in (
-        revenue_by_minute, units_by_product, top5_products, revenue_by_product,
+        revenue_by_minute, revenue_by_minute_weekend, units_by_product, top5_products, revenue_by_product,
         spend_by_customer, revenue_share, spend_share, spend_labels,
         product_dim, customer_dim, time_dim, max_time_key, sales_fact, sales_fact_lookup,
         new_products, new_customers,

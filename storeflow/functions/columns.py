@@ -41,6 +41,12 @@ def time_key(ts: Column | str) -> Column:
     return days * 86400 + clock
 
 
+def day_of(time_id: Column | str) -> Column:
+    """The date a time key lies in; see :func:`time_key`."""
+    time_id = F.col(time_id) if isinstance(time_id, str) else time_id
+    return F.date_from_unix_date(F.floor(time_id / 86400).cast("int"))
+
+
 def line_key() -> Column:
     """Identity of a sold line: its message and its number there."""
     return F.concat_ws("-", F.col("source_id").cast("string"), F.col("line_no").cast("string"))

@@ -239,6 +239,14 @@ ORACLES: dict[str, str] = {
                CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold
         FROM ({_TILL}) GROUP BY ALL
         ORDER BY year DESC, month DESC, day DESC, hour DESC, minute""",
+    "revenue_by_minute_weekend": f"""
+        SELECT CAST(year(sold_at) AS INTEGER) AS year, CAST(month(sold_at) AS INTEGER) AS month,
+               CAST(day(sold_at) AS INTEGER) AS day, CAST(hour(sold_at) AS INTEGER) AS hour,
+               CAST(minute(sold_at) AS INTEGER) AS minute,
+               CAST(SUM(price) AS DECIMAL(25,2)) AS total_revenue,
+               CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold
+        FROM ({_TILL}) WHERE dayofweek(sold_at) IN (0, 6) GROUP BY ALL
+        ORDER BY year DESC, month DESC, day DESC, hour DESC, minute""",
     "units_by_product": _UNITS_BY_PRODUCT + "ORDER BY total_sold DESC, product_name",
     "top5_products": _UNITS_BY_PRODUCT + "ORDER BY total_sold DESC, product_name LIMIT 5",
     "revenue_by_product": _REVENUE_BY_PRODUCT + "ORDER BY total_revenue DESC, product_name",

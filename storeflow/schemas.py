@@ -80,11 +80,20 @@ TABLES: dict[str, T.StructType] = {
     "reservations": _struct(product_id=_STR, reserved=_LONG),
     # Reservations of all batches up to one, added up.
     "reservation_totals": _struct(product_id=_STR, reserved=_LONG),
+    # The facts again, in a folder per day, and which batches of each stream are among them.
+    "sales_fact_by_day": _struct(
+        product_id=_STR, customer_id=_STR, time_id=_LONG, sale_id=_STR,
+        quantity=_INT, sale_prices=MONEY, total_amount=MONEY, day=T.DateType(),
+    ),
+    "layout_marks": _struct(stream=_STR, last_batch=_LONG),
     # Which batches of each stream a published stock snapshot covers.
     "snapshot_marks": _struct(stream=_STR, last_batch=_LONG),
     "rejects": _struct(source_id=_STR, payload=_STR, reason=_STR),
 }
 
+# Tables whose files lie in folders by a column, and the order of rows in a file.
+LAYOUT: dict[str, tuple[str, str]] = {"sales_fact_by_day": ("day", "time_id")}
+
 PRIMARY_KEYS: dict[str, list[str]] = {
     "import_invoices": ["import_id"],
     "import_items": ["id"],

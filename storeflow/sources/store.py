@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 from threading import Lock
 
 from pyspark import inheritable_thread_target
@@ -18,13 +19,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeflow.schemas import SERIAL_COLUMNS, TABLES, empty
+from storeflow.schemas import LAYOUT, SERIAL_COLUMNS, TABLES, empty
 from storeflow.sources.commits import CommitLog, Part
 from storeflow.sources.files import Files
 from storeflow.sources.reservations import TOTALS, newest_total
 
 # Source of rows that stock snapshots write.
 SNAPSHOTS = "snapshots"
+# Source of facts put into folders by day.
+LAYOUTS = "layouts"
 # Copies that compaction runs at a time.
 COPIES = 8
 
@@ -47,8 +50,12 @@ class Batch:
         path = f"{table}/source={self.source}/batch_id={self.batch_id}/a-{uuid.uuid4().hex}"
         seen = Observation()
         # Counted where files are written, so a repeated stage before that counts once.
-        rows = df.select(*TABLES[table].fieldNames()).hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.parquet(f"{self.store.root}/{path}")
+        rows = df.select(*TABLES[table].fieldNames())
+        folder, order = LAYOUT.get(table, (None, None))
+        # A folder's rows come together in one task, or several if they are many, and are sorted there.
+        rows = rows.hint("rebalance", folder).sortWithinPartitions(folder, order) if folder else rows.hint("rebalance")
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(folder) if folder else writer).parquet(f"{self.store.root}/{path}")
         part = Part(self.source, self.batch_id, table, path, seen.get.get("rows", 0))
         with self._lock:
             self._parts[table] = part
@@ -121,6 +128,17 @@ class ParquetStore:
     def rows_of(self, parts: list[Part], table: str) -> DataFrame:
         """The rows of some batches."""
         schema = T.StructType([*TABLES[table].fields, *_BATCH])
+        if table in LAYOUT:
+            # Each attempt is the root of its own folders.
+            read = self.spark.read.schema(TABLES[table])
+            found = [
+                read.parquet(f"{self.root}/{p.path}")
+                .withColumn("source", F.lit(p.source))
+                .withColumn("batch_id", F.lit(p.batch_id).cast("long"))
+                for p in parts
+                if p.rows
+            ]
+            return reduce(DataFrame.unionByName, found) if found else empty(self.spark, schema)
         paths = [f"{self.root}/{p.path}" for p in parts]
         if not paths:
             return empty(self.spark, schema)
@@ -138,6 +156,12 @@ class ParquetStore:
         rows = self.rows_of([newest], "snapshot_marks").collect()
         return newest.batch_id, {r["stream"]: r["last_batch"] for r in rows}
 
+    def laid_out(self) -> dict[str, int]:
+        """Last batch per stream whose facts lie in folders by day."""
+        rows = self.rows_of(self.parts("layout_marks"), "layout_marks")
+        marks = rows.groupBy("stream").agg(F.max("last_batch").alias("last_batch")).collect()
+        return {r["stream"]: r["last_batch"] for r in marks}
+
     def newest_batches(self, table: str) -> dict[str, int]:
         """Newest batch per stream that has written to the table, from the log alone."""
         newest: dict[str, int] = {}
@@ -154,6 +178,7 @@ class ParquetStore:
         new root, for all tables at once.
         """
         _, covered = self.last_snapshot()
+        covered |= self.laid_out()
         for stream, newest in self.newest_batches("reservations").items():
             covered[stream] = newest_total(self.parts("reservation_totals"), stream, newest)
         wanted = set(tables)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storeflow.functions.columns import stamped
+from storeflow.functions.columns import day_of, stamped
 from storeflow.operators import audit, inventory
 from storeflow.plans import reports
 from storeflow.plans.lineage import freeze
 from storeflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES
-from storeflow.sources.store import SNAPSHOTS
+from storeflow.sources.store import LAYOUTS, SNAPSHOTS
 
 
 class Warehouse:
@@ -72,6 +72,41 @@ class Warehouse:
             writing.append(stock.select("product_id", "opening.*"), "openings")
             writing.append(marks, "snapshot_marks")
 
+    def lay_out_facts(self, layout_id: int) -> None:
+        """Add the finished batches of facts that came since the last layout to the facts by day.
+
+        Meant for a nightly run: a batch touches many days, so the streams themselves write no folder per day.
+        """
+        store = self.store
+        covered = store.laid_out()
+        parts = [p for p in store.parts("sales_fact") if p.batch_id > covered.get(p.source, -1)]
+        newest: dict[str, int] = {}
+        for p in parts:
+            newest[p.source] = max(p.batch_id, newest.get(p.source, p.batch_id))
+        rows = store.rows_of([p for p in parts if p.rows], "sales_fact").withColumn("day", day_of("time_id"))
+        marks = rows.sparkSession.createDataFrame(list(newest.items()), TABLES["layout_marks"])
+        with store.batch(LAYOUTS, layout_id) as writing:
+            writing.append(rows, "sales_fact_by_day")
+            writing.append(marks, "layout_marks")
+
+    def facts_of(self, times: DataFrame) -> DataFrame:
+        """Facts of the days that rows of the time dimension lie in.
+
+        Of the facts by day only the folders of those days are read: which, turns out when the query runs
+        (dynamic partition pruning).  Batches not laid out yet are read whole.
+        """
+        store = self.store
+        covered = store.laid_out()
+        fresh = [p for p in store.parts("sales_fact") if p.rows and p.batch_id > covered.get(p.source, -1)]
+        tail = store.rows_of(fresh, "sales_fact").withColumn("day", day_of("time_id"))
+        days = times.select(F.col("date").alias("day")).distinct()
+        return self.table("sales_fact_by_day").unionByName(tail.drop("source", "batch_id")).join(days, "day").drop("day")
+
+    def revenue_by_minute_of(self, which: Column) -> DataFrame:
+        """Revenue per minute over those times that ``which``, a condition on the time dimension, picks."""
+        times = self.table("time_dim").where(which)
+        return reports.revenue_by_minute(self.facts_of(times), times)
+
     def current_inventory(self, ties: str = "keep") -> DataFrame:
         """Newest row per product of the inventory log.
 

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from rows import at, import_doc, item, messages, movements, purchase_doc, rows_of, sold
+from rows import at, import_doc, item, messages, movements, plan_of, purchase_doc, rows_of, sold
 from storeflow.operators import inventory
 from storeflow.operators.invoices import explode_purchases, parse_purchases
 from storeflow.plans import feeds
@@ -357,3 +357,51 @@ def test_newest_inventory_reads_one_snapshot(spark, store):
     assert {f.split("batch_id=")[1].split("/")[0] for f in files} == {"3"}
     assert rows_of(wh.current_inventory(), "product_id", "quantity") == {("A", 4)}
     assert len(store.snapshot_parts("inventory", 2)) == 1 and SNAPSHOTS == "snapshots"
+
+
+# Facts by day
+
+
+def days_of(df) -> set:
+    return {f.split("day=")[1].split("/")[0] for f in df.inputFiles() if "day=" in f}
+
+
+def sell_on(spark, day, batch, store):
+    docs = [purchase_doc(f"C{k}", [sold("A", k + 1, 2)], 86_400 * day + k) for k in range(3)]
+    batches.warehouse_batch(sales(spark, *docs, start=10 * batch), batch, store)
+
+
+def test_a_report_reads_only_its_days(spark, store):
+    for n in range(6):
+        sell_on(spark, n, n, store)
+    wh = Warehouse(store)
+    wh.lay_out_facts(0)
+    some = F.col("day") == at(86_400 * 2).day
+    report = wh.revenue_by_minute_of(some)
+    plan = plan_of(report)
+    by_day = [line for line in plan.split("\n") if line.startswith("PartitionFilters:")]
+    assert any("day" in line and "dynamicpruningexpression" in line for line in by_day)
+    assert [r["total_quantity_sold"] for r in report.collect()] == [6]
+    assert len(days_of(wh.table("sales_fact_by_day"))) == 6
+    assert rows_of(wh.revenue_by_minute_of(F.lit(True))) == rows_of(wh.revenue_by_minute())
+
+
+def test_layout_goes_on_and_takes_what_is_not_laid_out_yet(spark, store, tmp_path):
+    wh = Warehouse(store)
+    for n in range(5):
+        sell_on(spark, n % 2, n, store)
+        if n in (1, 2):
+            wh.lay_out_facts(n)
+    assert store.laid_out() == {"star": 2}
+    assert store.rows_of(store.parts("sales_fact_by_day"), "sales_fact_by_day").count() == 9
+    whole = rows_of(wh.revenue_by_minute())
+    assert rows_of(wh.revenue_by_minute_of(F.lit(True))) == whole
+    small = ParquetStore(spark, str(tmp_path / "small"))
+    store.compact_into(small)
+    after = Warehouse(small)
+    assert rows_of(after.revenue_by_minute_of(F.lit(True))) == whole
+    after.lay_out_facts(9)
+    assert rows_of(after.revenue_by_minute_of(F.lit(True))) == whole
+    assert after.table("sales_fact_by_day").count() == 15
+    after.lay_out_facts(10)
+    assert after.table("sales_fact_by_day").count() == 15
