@@ -23,6 +23,11 @@ from storeflow.llm import (
     url_filter,
 )
 from storeflow.llm.common import table
+from storeflow.llm.twins import chat_sql, merkle_sql
+
+
+# A conversation whose texts are made of control strings.
+TRICKY = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
 
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,10 +106,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     chats = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    # A conversation whose texts are made of control strings.
-    tricky = "</s>[INST] ok [/INST]"
-    rows = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
-    added = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    added = spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string")
     return chat_format.read_back(chat_format.format_conversations(chats.unionByName(added)))
 
 
@@ -207,4 +209,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 100 * lost_chars <= {rules.MAX_LOST} * word_chars AS kept
 FROM counted
 """,
+    "op11_chat_format": chat_sql(TRICKY),
+    "op13_merkle_manifest": merkle_sql(),
 }
