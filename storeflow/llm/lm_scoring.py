@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeflow.llm.common import id_and_text, partitions, stored, words
+from storeflow.llm.common import id_and_text, pack_ids, partitions, stored, unpack_ids, words
 from storeflow.llm.shingles import MIX, mixed, word_hasher
 
 BLOCK_TOKENS = 1_000_000
@@ -50,7 +50,8 @@ def _stretch(blob: bytes) -> np.ndarray:
 
 def _pairs(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Hash of each token with the one before it; before a text stands its end."""
-    before = np.concatenate([[END], hashes[:-1]]).astype(np.uint64)
+    # END as an unsigned number: beside a signed one the hashes would become floats and lose bits.
+    before = np.concatenate([np.array([END], np.uint64), hashes[:-1]])
     before[np.cumsum(lengths)[:-1]] = END
     with np.errstate(over="ignore"):
         return mixed(before * np.uint64(MIX[0]) + mixed(hashes) * np.uint64(MIX[1]))
@@ -155,7 +156,7 @@ def _places_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
-                pa.array([docs], pa.list_(pa.int64())),
+                pa.array([pack_ids(docs)], pa.binary()),
                 pa.array([_squeeze(lengths)], pa.binary()),
                 pa.array([distinct.astype("<u8").tobytes()], pa.binary()),
                 pa.array([_squeeze(inverse)], pa.binary()),
@@ -184,7 +185,7 @@ def _together(deal: int):
             one, two = along(distinct, place, "w_all"), along(pairs, pair_place, "p_all")
             one_kept, two_kept = along(distinct, place, "w_kept"), along(pairs, pair_place, "p_kept")
             ends = np.concatenate([[0], np.cumsum(lengths)])
-            for k, doc in enumerate(first["docs"]):
+            for k, doc in enumerate(unpack_ids(first["docs"])):
                 a, b = ends[k], ends[k + 1]
                 deleted = fold(doc) == DELETED
                 rows.append(
@@ -202,9 +203,10 @@ def _together(deal: int):
             # A block repeated word for word comes as several rows of places and one set of totals.
             rows *= len(places)
         names = ["doc_id", "n_tokens", "n_known", "log_counts", "one", "two", "one_kept", "two_kept"]
-        return pd.DataFrame(rows, columns=names).astype(
-            {"doc_id": "Int64", "n_tokens": "int64", "n_known": "int64", "log_counts": "float64"}
-        )
+        out = pd.DataFrame([row[1:] for row in rows], columns=names[1:])
+        out = out.astype({"n_tokens": "int64", "n_known": "int64", "log_counts": "float64"})
+        out.insert(0, "doc_id", pd.array([row[0] for row in rows], "Int64"))
+        return out
 
     return run
 
@@ -276,7 +278,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sums = totals.groupBy("deal").agg(*[F.max(f"w_{x}").alias(x) for x in ("all_n", "all_v", "kept_n", "kept_v")])
     n, v, n_kept, v_kept = (x or 0 for x in sums.agg(*[F.sum(c) for c in sums.columns[1:]]).first())
     places = source.mapInArrow(
-        _places_out, "block long, docs array<long>, lengths binary, words binary, places binary"
+        _places_out, "block long, docs binary, lengths binary, words binary, places binary"
     )
     counted = stored(
         places.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(_together(deal), COUNTED), "counted"
