@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeflow.llm.common import id_and_text, partitions
+from storeflow.llm.common import id_and_text, pack_ids, partitions, unpack_ids
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -179,7 +179,7 @@ def encode_documents(
                     pa.array([*to[order][cuts].tolist(), block], pa.int64()),
                     pa.array([block] * (n + 1), pa.int64()),
                     pa.array([-1] * n + [int(named.max(initial=-1)) + 1], pa.int64()),
-                    pa.array([None] * n + [[doc for doc, _ in held]], pa.list_(pa.int64())),
+                    pa.array([None] * n + [pack_ids([doc for doc, _ in held])], pa.binary()),
                     pa.array([*blobs, places], pa.binary()),
                 ],
                 ["to", "block", "n_words", "docs", "payload"],
@@ -232,17 +232,18 @@ def encode_documents(
                 all_places, end = _from_planes(flat), 0
                 if not counts[all_places].all():
                     raise RuntimeError("a block's words are not all there")
-                for doc, length in zip(docs, np.frombuffer(lengths, "<u4").tolist(), strict=True):
+                for doc, length in zip(unpack_ids(docs), np.frombuffer(lengths, "<u4").tolist(), strict=True):
                     mine = all_places[end : end + length].astype(np.int64)
                     end += length
                     ids = table[_ranges(begins[mine], counts[mine])]
                     rows.append((doc, len(ids), *(result(ids.tolist()) if result else (ids.tobytes(),))))
-        out = pd.DataFrame(rows, columns=columns)
-        return out.astype({"doc_id": "Int64", "n_tokens": "int64"})
+        out = pd.DataFrame([row[1:] for row in rows], columns=columns[1:]).astype({"n_tokens": "int64"})
+        out.insert(0, "doc_id", pd.array([row[0] for row in rows], "Int64"))
+        return out
 
     # Words go to their group and places to their block in one exchange, which both readers below share: the text is
     # split once.  Blocks are named by hashes far above the numbers of groups.
-    dealt = source.mapInArrow(blocks_out, "to long, block long, n_words long, docs array<long>, payload binary")
+    dealt = source.mapInArrow(blocks_out, "to long, block long, n_words long, docs binary, payload binary")
     encoded = dealt.groupBy("to").applyInPandas(encode_words, "block long, ids binary")
     return dealt.groupBy("to").cogroup(encoded.groupBy("block")).applyInPandas(
         together, f"doc_id long, n_tokens long, {result_schema}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,17 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def pack_ids(ids: list[int | None]) -> bytes:
+    """Ids of a block.  As a list with nulls they would reach pandas as floats, which long ids do not survive."""
+    return np.array([0 if i is None else i for i in ids], "<i8").tobytes() + bytes(i is None for i in ids)
+
+
+def unpack_ids(blob: bytes) -> list[int | None]:
+    n = len(blob) // 9
+    values = np.frombuffer(blob, "<i8", n).tolist()
+    return [None if gone else value for value, gone in zip(values, blob[8 * n :], strict=True)]
+
+
 def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) of each Arrow batch of (doc_id, text)."""
     for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeflow.llm.bpe import read_ranks
-from storeflow.llm.common import id_and_text, stored
+from storeflow.llm.common import id_and_text, pack_ids, stored, unpack_ids
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -269,7 +269,7 @@ def align_blocks(docs: DataFrame, ranks_path: str, pieces_path: str) -> DataFram
     """One row per block: its documents with their counts and units, its distinct id pairs with their counts."""
     longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
     schema = pa.schema(
-        [("block", pa.string()), ("docs", longs)]
+        [("block", pa.string()), ("docs", pa.binary())]
         + [(c, longs) for c in _COUNTS]
         + [("digests", pa.list_(pa.string())), ("n_units", longs), ("units", pa.binary())]
         + [("unit_links", pa.binary()), ("links", pa.binary()), ("a", ints), ("b", ints), ("n", longs)]
@@ -300,7 +300,7 @@ def align_blocks(docs: DataFrame, ranks_path: str, pieces_path: str) -> DataFram
         )
         often = np.bincount(flat, minlength=len(known))
         n = np.bincount(links, np.repeat(often, unit_links), len(pairs)).astype(np.int64)
-        columns = [uuid.uuid4().hex, [doc for doc, _ in held], *counts, digests, n_units.tolist()]
+        columns = [uuid.uuid4().hex, pack_ids([doc for doc, _ in held]), *counts, digests, n_units.tolist()]
         columns += [_squeezed(flat), _squeezed(unit_links), _squeezed(links)]
         columns += [pairs >> 32, pairs & 0xFFFFFFFF, n]
         return pa.RecordBatch.from_arrays(
@@ -327,7 +327,7 @@ def align_blocks(docs: DataFrame, ranks_path: str, pieces_path: str) -> DataFram
     arrays = ", ".join(f"{c} array<long>" for c in _COUNTS)
     return docs.mapInArrow(
         split,
-        f"block string, docs array<long>, {arrays}, digests array<string>, n_units array<long>, units binary, "
+        f"block string, docs binary, {arrays}, digests array<string>, n_units array<long>, units binary, "
         "unit_links binary, links binary, a array<int>, b array<int>, n array<long>",
     )
 
@@ -368,10 +368,9 @@ def align_documents(
             units, n_units = _loose(row.units), np.asarray(row.n_units, np.int64)
             links, unit_links = _loose(row.links), _loose(row.unit_links)
             sums = [_sums(_sums(per_pair[links], unit_links)[units], n_units) for per_pair in (best, total)]
-            columns = [row.docs, *(getattr(row, c) for c in _COUNTS[:4]), *sums, row.digests, row.n_group_links]
+            columns = [pd.array(unpack_ids(row.docs), "Int64"), *(getattr(row, c) for c in _COUNTS[:4]), *sums, row.digests, row.n_group_links]
             parts.append(pd.DataFrame(dict(zip(names, columns, strict=True))))
-        out = pd.concat(parts) if parts else pd.DataFrame(columns=names)
-        return out.astype({"doc_id": "Int64"})
+        return pd.concat(parts) if parts else pd.DataFrame(columns=names).astype({"doc_id": "Int64"})
 
     held = blocks.drop("a", "b", "n")
     return held.groupBy("block").cogroup(answers.groupBy("of")).applyInPandas(

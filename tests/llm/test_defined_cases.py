@@ -283,3 +283,10 @@ def test_pipeline_on_everything_and_nothing(spark, tmp_path):
         if rows:
             assert {1, 2, 5, -3, None} <= {r["doc_id"] for r in pieces}
             assert 4 not in {r["doc_id"] for r in pieces}
+
+
+@pytest.mark.parametrize("name", ["op1", "op2", "op3", "op6", "op7", "op8", "op12"])
+def test_long_ids_beside_null_ids(spark, name):
+    """Ids that a float cannot hold, in a block with a row without one."""
+    rows = [((1 << 62) + k, f"{prose(12)} {k}") for k in range(6)] + [(None, prose(5))]
+    assert ids(PER_ROW[name](spark, documents(spark, rows).coalesce(1))) == Counter(i for i, _ in rows)
