@@ -179,7 +179,9 @@ def test_messages_are_parsed_once(spark, store, monkeypatch):
     monkeypatch.setattr("storeflow.sources.store.Batch.append", noted)
     batches.purchase_batch(log, 0, store)
     assert len(plans) == 6
-    assert all("InMemoryTableScan" in p for p in plans)
+    # New dimension rows come from a checkpoint, made from the cache as well.
+    assert all("InMemoryTableScan" in p or ("ExistingRDD" in p and "from_json" not in p) for p in plans)
+    assert sum("InMemoryTableScan" in p for p in plans) >= 3
 
 
 # Feeds in waves and batches
