@@ -16,14 +16,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storeflow.llm.common import id_and_text, rows, stored
+from storeflow.llm.common import id_and_text, stored
+from storeflow.plans.skew import BROADCAST_ROWS
 
 BUCKETS = 1 << 16
 # The target model is drawn towards the raw one as by so many n-grams per bucket, each as likely as there: what a small
 # target sample cannot have shown is not held against a text.
 SMOOTHING = 2.0
-# The target model is fitted on at most so many labelled documents, those with the smallest hashes.
-MAX_LABELLED = 200_000
 # Of the Gumbel noise: log weights are sums over hundreds of n-grams, far larger.
 NOISE = 1.0
 # Weights of very short texts are about zero and say little: they are not held against a text.
@@ -33,18 +32,15 @@ TOKENS = r"\w+|[^\w\s]+"
 BINS = 1024
 
 
-def target_ids(labels: DataFrame, most: int = MAX_LABELLED, seed: int = SEED) -> np.ndarray:
-    """Sorted ids of good, harmless labelled documents, at most ``most``; null labels do not count."""
+def good_ids(labels: DataFrame) -> DataFrame:
+    """Distinct ``doc_id`` of good, harmless labelled documents; null labels do not count."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-    ids = (
-        good.select(F.col("doc_id").cast("long").alias("doc_id"))
-        .where("doc_id IS NOT NULL")
-        .distinct()
-        .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
-        .limit(most)
-        .collect()
-    )
-    return np.sort(np.array([r[0] for r in ids], np.int64))
+    return good.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+
+
+def target_ids(labels: DataFrame) -> np.ndarray:
+    """The same ids, sorted, on the driver; for looking at a table of few labels."""
+    return np.sort(np.array([r[0] for r in good_ids(labels).collect()], np.int64))
 
 
 def hashed_ngrams(texts: Iterator[str], buckets: int = BUCKETS) -> Iterator[np.ndarray]:
@@ -78,19 +74,21 @@ def _chunks(arrays: Iterator[np.ndarray], least: int = 1 << 20) -> Iterator[np.n
         yield np.concatenate(held)
 
 
-def fit(docs: DataFrame, targets: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
-    """Log ratio of target and raw probability of each bucket; the raw model is that of all documents.
+def fit(docs: DataFrame, targets: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Log ratio of target and raw probability of each bucket; the raw model is that of all documents, the target
+    model that of all whose id is in ``targets`` (distinct ``doc_id``).
 
-    Tasks count into one vector of ``buckets`` numbers per model; those are added up by bucket.
+    Tasks count into one vector of ``buckets`` numbers per model; those are added up by bucket.  Ids go to every
+    executor if they are few, and are joined as Spark sees fit if not: the model is the same.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, buckets), np.int64)
-        for ids, texts in rows(batches):
-            mine = np.isin(np.array([0 if i is None else i for i in ids], np.int64), targets)
-            mine &= np.array([i is not None for i in ids], bool)
-            for model, some in ((0, mine), (1, ~mine)):
-                for part in _chunks(hashed_ngrams([t for t, m in zip(texts, some, strict=True) if m], buckets)):
+        for batch in batches:
+            texts, mine = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for model in (0, 1):
+                some = [t for t, m in zip(texts, mine, strict=True) if (m is None) == (model == 1)]
+                for part in _chunks(hashed_ngrams(some, buckets)):
                     sums[model] += np.bincount(part.astype(np.int64), minlength=buckets)
         sums[1] += sums[0]
         seen = np.flatnonzero(sums[1])
@@ -98,8 +96,13 @@ def fit(docs: DataFrame, targets: np.ndarray, buckets: int = BUCKETS) -> np.ndar
             [pa.array(seen), pa.array(sums[0][seen]), pa.array(sums[1][seen])], ["bucket", "target", "raw"]
         )
 
+    marked = targets.select("doc_id", F.lit(True).alias("target"))
+    if targets.count() <= BROADCAST_ROWS:
+        marked = F.broadcast(marked)
     found = (
-        docs.mapInArrow(count, "bucket long, target long, raw long")
+        docs.join(marked, "doc_id", "left")
+        .select("text", "target")
+        .mapInArrow(count, "bucket long, target long, raw long")
         .groupBy("bucket")
         .agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
         .collect()  # at most ``buckets`` rows
@@ -178,8 +181,8 @@ def resample(
     """
     source = id_and_text(docs, id_col, text_col)
     hashed = source.withColumn("text_hash", F.xxhash64("text"))
-    targets = target_ids(labels)
-    ratios = fit(source, targets, buckets) if len(targets) else np.zeros(buckets)
+    targets = stored(good_ids(labels), "targets")
+    ratios = np.zeros(buckets) if targets.isEmpty() else fit(source, targets, buckets)
     keys = stored(
         weigh(hashed, ratios).withColumn("gumbel_key", F.col("log_weight") + NOISE * gumbel(F.col("doc_id"))),
         "weights",
