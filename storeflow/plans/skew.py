@@ -22,6 +22,8 @@ HEAVY_ROWS = 2_000_000
 HEAVY_KEYS = 200_000
 # A lookup side of at most this many (narrow) rows is sent to every executor.
 BROADCAST_ROWS = 200_000
+# Groups in which keys are counted before they are counted one by one.
+BUCKETS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,18 @@ def profile_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> KeyPr
     return KeyProfile(key, rows, largest, heavy_rows, heavy)
 
 
+def no_key_above(df: DataFrame, key: str, most: int) -> bool:
+    """Whether no key has more than ``most`` rows.  Runs a job, and seldom a second one.
+
+    Keys are counted in ``BUCKETS`` groups first, which fit a task's memory however many keys there are; no key has
+    more rows than its group.  If a group is too large, keys are counted one by one.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+    groups = df.where(F.col(key).isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    largest = groups.agg(F.max("n")).first()[0] or 0
+    return largest <= most or profile_keys(df, key, max(most, HEAVY_ROWS)).largest <= most
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeflow.functions.columns import second_of
-from storeflow.plans.skew import profile_keys, running_before
+from storeflow.plans.skew import no_key_above, profile_keys, running_before
 from storeflow.schemas import MONEY
 
 # Lines of one order that go into one document; a longer order becomes several.
@@ -129,23 +129,35 @@ class Retail:
         in the order a document starts (null: at its beginning), so lines are numbered alike at any size.
         """
         most = document_lines or DOCUMENT_LINES
-        profile = profile_keys(lines, "source_id")
+        received = lines
         place = ["line_no", "product_id", "quantity", "price", "product_name"]
         lines = lines.join(self.products(), "product_id")
         document = ["source_id", "part"]
-        whole = [F.max("event_time").alias("shipped"), F.sum("price").cast(MONEY).alias("total")]
-        items = F.sort_array(F.collect_list(F.struct(*place))).alias("items")
-        if profile.largest <= most:
+        shipped, total, item = F.max("event_time"), F.sum("price"), F.collect_list(F.struct(*place))
+        if no_key_above(received, "source_id", most):
             sc = self.spark.sparkContext
             files = max(sc.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-            nested = lines.repartition(files, "source_id").groupBy("source_id").agg(*whole, items)
-            nested = nested.withColumn("part", F.lit(0))
+            # A window sorts an order's lines once; an aggregate would build each array twice.
+            order = Window.partitionBy("source_id").orderBy(*place)
+            every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            nested = lines.repartition(files, "source_id").select(
+                "source_id",
+                F.lit(0).alias("part"),
+                shipped.over(every).alias("shipped"),
+                total.over(every).cast(MONEY).alias("total"),
+                item.over(every).alias("items"),
+                F.row_number().over(order).alias("_line"),
+            )
+            nested = nested.where("_line = 1").drop("_line")
         else:
+            profile = profile_keys(received, "source_id")
             numbered = running_before(lines.withColumn("_one", F.lit(1)), "_one", place, profile, "_place")
             part = (F.col("_place") / most).cast("int").alias("part")
-            parts = numbered.select("source_id", part, *place).groupBy(*document).agg(items)
+            parts = numbered.select("source_id", part, *place).groupBy(*document)
+            parts = parts.agg(F.sort_array(item).alias("items"))
             # A row per order meets a row per document: neither side has hot keys of any weight.
-            nested = parts.join(lines.groupBy("source_id").agg(*whole), "source_id")
+            whole = lines.groupBy("source_id").agg(shipped.alias("shipped"), total.cast(MONEY).alias("total"))
+            nested = parts.join(whole, "source_id")
         return nested.withColumn("first_line", F.nullif(F.col("part") * most, F.lit(0))).withColumn(
             "items",
             F.transform(
@@ -177,10 +189,10 @@ class Retail:
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("string").alias("timestamp"),
         )
+        # Customers join the orders, so that documents, the wider rows, are not moved for them.
         return (
             self._documents(self.sold(), "total_price", document_lines)
-            .join(orders, "source_id")
-            .join(self.customers(), "customer_id")
+            .join(orders.join(self.customers(), "customer_id"), "source_id")
             .select(
                 F.col("part").alias("partition"),
                 F.col("source_id").alias("offset"),

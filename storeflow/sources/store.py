@@ -39,11 +39,14 @@ class Batch:
 
     def __init__(self, store: ParquetStore, source: str, batch_id: int):
         self.store, self.source, self.batch_id = store, source, batch_id
+        # Whether rows are brought together into few files first; a batch of large partitions need not be.
+        self.gather = True
         self._parts: dict[str, Part] = {}
         self._lock = Lock()
 
     def append(self, df: DataFrame, table: str) -> DataFrame:
-        """Write into a folder of this attempt's own, in as few files as the size allows.
+        """Write into a folder of this attempt's own, in as few files as the size allows, or one for each partition
+        of a large batch.
 
         Returns what was written, read back.
         """
@@ -53,7 +56,10 @@ class Batch:
         rows = df.select(*TABLES[table].fieldNames())
         folder, order = LAYOUT.get(table, (None, None))
         # A folder's rows come together in one task, or several if they are many, and are sorted there.
-        rows = rows.hint("rebalance", folder).sortWithinPartitions(folder, order) if folder else rows.hint("rebalance")
+        if folder:
+            rows = rows.hint("rebalance", folder).sortWithinPartitions(folder, order)
+        elif self.gather:
+            rows = rows.hint("rebalance")
         writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
         (writer.partitionBy(folder) if folder else writer).parquet(f"{self.store.root}/{path}")
         part = Part(self.source, self.batch_id, table, path, seen.get.get("rows", 0))

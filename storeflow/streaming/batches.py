@@ -21,6 +21,8 @@ from storeflow.sources.reservations import reserved_before, write_totals
 IMPORTS, SALES, STAR, GUARD, NOTICES = "imports", "sales", "star", "guard", "notices"
 # Tables of a batch that are written at a time.
 TABLES_AT_ONCE = 4
+# Invoices that make a partition's rows worth files of their own.
+FILE_INVOICES = 20_000
 
 
 @contextmanager
@@ -36,11 +38,22 @@ def _kept(batch: DataFrame) -> Iterator[DataFrame]:
         batch.unpersist()
 
 
+def _large(batch: DataFrame) -> bool:
+    """Whether the partitions of a kept batch are large enough to be written as they are, without a shuffle.
+
+    Fills what is kept, so tables written at a time do not wait for each other's parsing.
+    """
+    parts = batch.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    invoices, n = parts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    return n > 0 and invoices >= FILE_INVOICES * n
+
+
 @contextmanager
-def _batch(store, source: str, batch_id: int) -> Iterator[Callable[[DataFrame, str], None]]:
+def _batch(store, source: str, batch_id: int, batch: DataFrame) -> Iterator[Callable[[DataFrame, str], None]]:
     """What appends to the batch's tables.  They become visible together if the store can do that."""
     if hasattr(store, "batch"):
         with store.batch(source, batch_id) as writing:
+            writing.gather = not _large(batch)
             yield writing.append
     else:
         yield lambda df, table: store.append(df, table, source=source, batch_id=batch_id)
@@ -48,7 +61,7 @@ def _batch(store, source: str, batch_id: int) -> Iterator[Callable[[DataFrame, s
 
 def import_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Import invoices into stock movements, headers, items and rejects."""
-    with _kept(batch), _batch(store, IMPORTS, batch_id) as add:
+    with _kept(batch), _batch(store, IMPORTS, batch_id, batch) as add:
         lines = with_event_time(invoices.explode_imports(batch), "delivery_hour")
         headers = with_event_time(invoices.import_headers(batch), "delivery_hour")
         run_together(
@@ -63,7 +76,7 @@ def import_batch(batch: DataFrame, batch_id: int, store) -> None:
 
 def sale_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Purchase invoices into stock movements and rejects."""
-    with _kept(batch), _batch(store, SALES, batch_id) as add:
+    with _kept(batch), _batch(store, SALES, batch_id, batch) as add:
         lines = with_event_time(invoices.explode_purchases(batch), "timestamp")
         run_together(
             batch.sparkSession,
@@ -75,7 +88,7 @@ def sale_batch(batch: DataFrame, batch_id: int, store) -> None:
 
 def warehouse_batch(batch: DataFrame, batch_id: int, store) -> None:
     """Purchase invoices into the star schema: new dimension rows, and facts."""
-    with _kept(batch), _batch(store, STAR, batch_id) as add:
+    with _kept(batch), _batch(store, STAR, batch_id, batch) as add:
         lines = with_event_time(invoices.explode_purchases(batch), "timestamp")
         headers = with_event_time(invoices.purchase_headers(batch), "timestamp")
 
@@ -101,6 +114,7 @@ def guard_batch(batch: DataFrame, batch_id: int, store, stock: DataFrame) -> Non
     after it, and of ``stock`` (product_id, quantity) no more than the guard does.
     """
     with _kept(batch), store.batch(GUARD, batch_id) as writing:
+        writing.gather = not _large(batch)
         lines = invoices.explode_purchases(batch)
         requests = lines.select("source_id", "line_no", "customer_id", "product_id", "quantity")
         earlier = reserved_before(store, GUARD, batch_id)
@@ -128,6 +142,7 @@ def purchase_batch(
         if notify and not store.finished(NOTICES, batch_id):
             calls.append((_notices, parsed, batch_id, store, notify))
         if calls:
+            _large(parsed)  # Parses before outputs are written side by side.
             run_together(batch.sparkSession, len(calls), *calls)
 
 

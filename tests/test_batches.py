@@ -407,3 +407,41 @@ def test_layout_goes_on_and_takes_what_is_not_laid_out_yet(spark, store, tmp_pat
     assert after.table("sales_fact_by_day").count() == 15
     after.lay_out_facts(10)
     assert after.table("sales_fact_by_day").count() == 15
+
+
+# What a batch and a feed cost
+
+
+def test_a_feed_makes_its_documents_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def note(value):
+        made.add(1)
+        return value
+
+    documents = spark.range(500).repartition(4).withColumn("x", F.udf(note, "long")("id"))
+    feed = Feed(documents, "parquet", ["id"], "once-feed")
+    assert made.value == 500 and not documents.is_cached
+    assert sum(spark.read.parquet(f.path).count() for f in feed.waiting) == 500
+
+
+def test_a_wave_does_not_end_in_a_batch_of_one_small_file(spark):
+    rows = spark.range(4000).withColumn("x", F.sha2(F.col("id").cast("string"), 256))
+    feed = Feed(rows, "parquet", ["id"], "even-feed")
+    while feed.publish():
+        stream = spark.readStream.schema(feed.schema).option("maxBytesPerTrigger", feed.batch_bytes).parquet(feed.inbox)
+        seen = []
+        query = stream.writeStream.option("checkpointLocation", feed.checkpoint).trigger(**DRAIN)
+        query.foreachBatch(lambda batch, _: seen.append(len(batch.inputFiles()))).start().awaitTermination()
+        assert len(seen) == 2
+
+
+@pytest.mark.parametrize("per_file, files", [(1, 4), (1000, 1)])
+def test_large_partitions_are_written_as_they_are(spark, store, monkeypatch, per_file, files):
+    monkeypatch.setattr(batches, "FILE_INVOICES", per_file)
+    docs = [purchase_doc(f"C{n}", [sold("A", 2, 3), sold("B", 1, 1)], n) for n in range(40)]
+    batches.purchase_batch(messages(spark, docs).repartition(4), 0, store)
+    for table in ("movements", "sales_fact"):
+        assert store.read(table).count() == 80
+        assert len(store.read(table).inputFiles()) == files
+    assert store.read("customer_dim").count() == 40

@@ -233,3 +233,11 @@ def test_adaptive_split_of_a_skewed_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 17])
+def test_the_largest_key_is_found_whatever_the_groups(spark, monkeypatch, buckets):
+    monkeypatch.setattr(skew, "BUCKETS", buckets)
+    df = spark.createDataFrame([(k,) for k in [1] * 5 + [2] * 3 + [None] * 9], "k long")
+    assert skew.no_key_above(df, "k", 5) and not skew.no_key_above(df, "k", 4)
+    assert skew.no_key_above(df.limit(0), "k", 0)
